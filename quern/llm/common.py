@@ -101,15 +101,16 @@ def maybe_member(df: DataFrame, h: Column, filt: DataFrame, words: int, out: str
     return df.join(f, F.col(f"{out}_k") == F.col(w), "left").withColumn(out, hit).drop(w, bits, f"{out}_h", f"{out}_k")
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, expected: int) -> DataFrame:
-    """docs without the ids in `dropped` (one column doc_id). Only rows whose id may be dropped, by a broadcast filter of
-    bounded size, meet the exact anti join, so texts of the rest are never shuffled. Rows with a null id stay."""
+def without_rows(docs: DataFrame, dropped: DataFrame, expected: int, on: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """docs without the rows whose `on` columns are in `dropped` (about `expected` rows). Only rows that may be dropped,
+    by a broadcast filter of bounded size, meet the exact anti join, so the texts of the rest are never shuffled. Rows
+    with a null among `on` stay."""
     words = filter_words(expected)
-    h = lambda c: F.xxhash64(c)
-    ids = dropped.select("doc_id").where("doc_id is not null")
-    flagged = maybe_member(docs, h(F.col("doc_id")), membership_filter(ids.select(h(F.col("doc_id")).alias("h")), words), words, "_maybe")
-    sure = flagged.where("doc_id is null or not _maybe").drop("_maybe")
-    rest = flagged.where("doc_id is not null and _maybe").drop("_maybe").join(ids.distinct(), "doc_id", "left_anti")
+    keys = dropped.select(*on).na.drop()
+    whole = " and ".join(f"{c} is not null" for c in on)
+    flagged = maybe_member(docs, F.xxhash64(*on), membership_filter(keys.select(F.xxhash64(*on).alias("h")), words), words, "_maybe")
+    sure = flagged.where(f"not ({whole} and _maybe)").drop("_maybe")
+    rest = flagged.where(f"{whole} and _maybe").drop("_maybe").join(keys.distinct(), list(on), "left_anti")
     return sure.select(docs.columns).unionByName(rest.select(docs.columns))
 
 

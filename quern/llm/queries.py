@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quern.llm.common import scratch_path, table
 
@@ -13,12 +12,25 @@ from quern.llm.common import scratch_path, table
 BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+EXACT_DEDUP_SQL = """
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.exact_dedup import exact_dedup
+
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm import token_store
 
@@ -35,8 +47,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_output, op7_packing)}
+    return {f.__name__: f for f in (op1_exact_dedup, op4_token_output, op7_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_exact_dedup": EXACT_DEDUP_SQL}
