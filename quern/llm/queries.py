@@ -46,8 +46,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op4_token_output, op7_packing)}
+    return {f.__name__: f for f in (op1_exact_dedup, op4_token_output, op7_packing, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
