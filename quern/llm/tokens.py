@@ -7,6 +7,8 @@ which a cut is not provably neutral (runs of white space, spaces at either end)
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from quern.llm.common import env_threads_off
@@ -17,6 +19,8 @@ CACHE_CHUNKS = 1_000_000
 CHUNKS_AT_ONCE = 2_000
 #: Marks that are tokens of their own after a letter at a chunk's end.
 ENDINGS = ",."
+#: White space other than the space and the line feed.
+RARE_SPACE = re.compile(r"[^\S \n]")
 #: How byte-level vocabularies write the space.
 SPACE_BYTE = "\u0120"
 
@@ -53,30 +57,24 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def chunks(self, text: str) -> list[str] | None:
-        """The chunks whose ids concatenate to the text's ids, or None if the text has to be encoded whole."""
+        """The text's parts between single spaces, or None if the text has to be encoded whole. Each part but the first
+        stands for itself with the space before it; where white space is discarded, empty parts are harmless."""
         if self.drops_space:
             if only_latin1(text):
                 text = text.lower()
-            return [c for c in text.replace("\n", " ").split(" ") if c]
-        if "  " in text or text[:1].isspace() or text[-1:].isspace():
-            return None
-        parts = text.split(" ")
-        if any(p[0].isspace() or p[-1].isspace() for p in parts if p) or "" in parts:
+            return text.replace("\n", " ").split(" ")
+        if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or RARE_SPACE.search(text):
             return None
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        return text.split(" ")
 
     def learn(self, new: list[str]) -> None:
         """Remembers the ids of chunks. Most are encoded as parts of long texts, whose ids tell where each chunk ends:
         at a digit's own id put between them, or where a token holds the space that opens the next chunk."""
-        if self.drops_space:
-            plain = [c for c in new if "0" not in c]
-            odd = [c for c in new if "0" in c]
-        else:
-            plain = [c for c in new if c[0] == " "]
-            odd = [c for c in new if c[0] != " "]
+        plain = [c for c in new if "0" not in c] if self.drops_space else new
+        odd = [c for c in new if "0" in c] if self.drops_space else []
         self.seen.update(zip(odd, self.whole(odd), strict=True))
         groups = [plain[i : i + CHUNKS_AT_ONCE] for i in range(0, len(plain), CHUNKS_AT_ONCE)]
-        joined = [(" 0 " if self.drops_space else "").join(g) for g in groups]
+        joined = [" 0 ".join(g) if self.drops_space else " " + " ".join(g) for g in groups]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype="<u4")
             if self.drops_space:
@@ -90,24 +88,32 @@ class Encoder:
             self.seen.update(zip(group, [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [b"" if not t else None for t in texts]
+        out: list[bytes] = [b""] * len(texts)
         cut = [self.chunks(t) if t else None for t in texts]
         alone = [i for i, t in enumerate(texts) if t and cut[i] is None]
-        for i, ids in zip(alone, self.whole([texts[i] for i in alone]) if alone else [], strict=True):
+        for i, ids in zip(alone, self.whole([texts[i] for i in alone]), strict=True):
             out[i] = ids
+        rest = [i for i, parts in enumerate(cut) if parts is not None]
+        if not self.drops_space:  # a text's first part has no space before it
+            for i, ids in zip(rest, self.whole([cut[i][0] for i in rest]), strict=True):
+                out[i] = ids
+                del cut[i][0]
         seen = self.seen
         if len(seen) > CACHE_CHUNKS:
             seen.clear()
-        new = set().union(*[parts for parts in cut if parts]).difference(seen)
+        new = set().union(*[cut[i] for i in rest]).difference(seen)
         if new:
+            seen[""] = b""
+            new.discard("")
             ending = [c for c in new if c[-1] in ENDINGS and c[-2:-1].isalpha()]
-            self.learn([c for c in {*new, *[c[:-1] for c in ending], *ENDINGS} - {*ending} if c not in seen])
-            for c in ending:
-                seen[c] = seen[c[:-1]] + seen[c[-1]]
+            self.learn([c for c in {*new, *[c[:-1] for c in ending]}.difference(ending) if c not in seen])
+            for mark, ids in zip(ENDINGS, self.whole(list(ENDINGS)), strict=True):
+                for c in ending:
+                    if c[-1] == mark:
+                        seen[c] = seen[c[:-1]] + ids
         ids_of = seen.__getitem__
-        for i, parts in enumerate(cut):
-            if parts is not None:
-                out[i] = b"".join(map(ids_of, parts))
+        for i in rest:
+            out[i] += b"".join(map(ids_of, cut[i]))
         return out
 
 
