@@ -52,8 +52,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op4_token_output, op7_packing, op9_simhash)}
+    return {f.__name__: f for f in (op1_exact_dedup, op4_token_output, op7_packing, op9_simhash, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
