@@ -13,8 +13,9 @@ import numpy as np
 
 from quern.llm.common import env_threads_off
 
-#: Chunks a worker remembers; beyond it the memory is emptied. About 150 bytes each.
-CACHE_CHUNKS = 1_000_000
+#: Chunks a worker remembers, at about 200 bytes each; beyond it the longer ones, which are rarely met again, are dropped.
+CACHE_CHUNKS = 400_000
+COMMON_LENGTH = 8
 #: Unseen chunks that are encoded as one text.
 CHUNKS_AT_ONCE = 2_000
 #: Marks that are tokens of their own after a letter at a chunk's end.
@@ -46,6 +47,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
         self.drops_space = drops_space
         self.seen: dict[str, bytes] = {}
+        self.tidy = True
         if drops_space:
             (self.mark,) = self.tokenizer.encode("0", add_special_tokens=False).ids
         else:
@@ -100,7 +102,8 @@ class Encoder:
                 del cut[i][0]
         seen = self.seen
         if len(seen) > CACHE_CHUNKS:
-            seen.clear()
+            seen = self.seen = {c: ids for c, ids in seen.items() if len(c) <= COMMON_LENGTH} if self.tidy else {}
+            self.tidy = len(seen) < CACHE_CHUNKS // 2
         new = set().union(*[cut[i] for i in rest]).difference(seen)
         if new:
             seen[""] = b""
