@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm.common import scratch_path, table
+from quern.llm.common import id_remainder, scratch_path, table
 
 #: Where public tokenizer files are looked up.
 BYTE_TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -31,6 +32,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def taught(documents: DataFrame) -> DataFrame:
+    """The labelled rows that language ID may learn from."""
+    return documents.where(id_remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm import langid
+
+    documents = table(spark, sf_dir, "documents")
+    found = langid.predict(documents, langid.fit(taught(documents)))
+    return found.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm import token_store
 
@@ -59,7 +73,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op4_token_output, op7_packing, op9_simhash, op10_decontamination)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_language_id, op4_token_output, op7_packing, op9_simhash, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
