@@ -60,6 +60,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm import ppm
+
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.simhash import near_duplicates
 
@@ -73,7 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_language_id, op4_token_output, op7_packing, op9_simhash, op10_decontamination)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_language_id, op4_token_output, op7_packing, op8_lm_scoring, op9_simhash, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
