@@ -41,10 +41,16 @@ class Encoder:
     def __init__(self, path: str, drops_space: bool):
         """drops_space: the tokenizer discards white space, so any cut at a space or line feed is neutral."""
         env_threads_off()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        # for words of plain letters alone: nothing to normalise, and spaces are the only places to cut
+        self.letters = Tokenizer.from_file(path)
+        self.letters.encode_special_tokens = True
+        self.letters.normalizer = None
+        at_spaces = pre_tokenizers.Split(" ", "removed" if drops_space else "merged_with_next")
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([at_spaces, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.drops_space = drops_space
         self.seen: dict[str, bytes] = {}
         self.tidy = True
@@ -72,22 +78,26 @@ class Encoder:
     def learn(self, new: list[str]) -> None:
         """Remembers the ids of chunks. Most are encoded as parts of long texts, whose ids tell where each chunk ends:
         at a digit's own id put between them, or where a token holds the space that opens the next chunk."""
-        plain = [c for c in new if "0" not in c] if self.drops_space else new
-        odd = [c for c in new if "0" in c] if self.drops_space else []
-        self.seen.update(zip(odd, self.whole(odd), strict=True))
-        groups = [plain[i : i + CHUNKS_AT_ONCE] for i in range(0, len(plain), CHUNKS_AT_ONCE)]
-        joined = [" 0 ".join(g) if self.drops_space else " " + " ".join(g) for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            if self.drops_space:
-                marks = np.flatnonzero(ids == self.mark)
-                ends = np.append(marks, len(ids)).tolist()
-                starts = [0, *(marks + 1).tolist()]
-            else:
-                starts = np.flatnonzero(self.opens[ids]).tolist()
-                ends = [*starts[1:], len(ids)]
-            raw = ids.tobytes()
-            self.seen.update(zip(group, [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], strict=True))
+        letters = [c for c in new if c.isalpha() and only_latin1(c) and (not self.drops_space or c == c.lower())]
+        others = list(set(new).difference(letters))
+        if self.drops_space:
+            odd = [c for c in others if "0" in c]
+            self.seen.update(zip(odd, self.whole(odd), strict=True))
+            others = [c for c in others if "0" not in c]
+        for tokenizer, plain in ((self.letters, letters), (self.tokenizer, others)):
+            groups = [plain[i : i + CHUNKS_AT_ONCE] for i in range(0, len(plain), CHUNKS_AT_ONCE)]
+            joined = [" 0 ".join(g) if self.drops_space else " " + " ".join(g) for g in groups]
+            for group, e in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, dtype="<u4")
+                if self.drops_space:
+                    marks = np.flatnonzero(ids == self.mark)
+                    ends = np.append(marks, len(ids)).tolist()
+                    starts = [0, *(marks + 1).tolist()]
+                else:
+                    starts = np.flatnonzero(self.opens[ids]).tolist()
+                    ends = [*starts[1:], len(ids)]
+                raw = ids.tobytes()
+                self.seen.update(zip(group, [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
