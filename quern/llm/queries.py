@@ -53,6 +53,12 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm import packing
 
@@ -79,7 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_language_id, op4_token_output, op7_packing, op8_lm_scoring, op9_simhash, op10_decontamination)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_language_id, op4_token_output, op5_substring_dedup, op7_packing, op8_lm_scoring, op9_simhash, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
