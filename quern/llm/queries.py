@@ -32,6 +32,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm import url_filter
+
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.labelled_urls(spark))
+
+
 def taught(documents: DataFrame) -> DataFrame:
     """The labelled rows that language ID may learn from."""
     return documents.where(id_remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
@@ -59,6 +65,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm import pii
+
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm import packing
 
@@ -85,7 +97,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_language_id, op4_token_output, op5_substring_dedup, op7_packing, op8_lm_scoring, op9_simhash, op10_decontamination)}
+    registered = (
+        op1_exact_dedup,
+        op2_url_filter,
+        op3_language_id,
+        op4_token_output,
+        op5_substring_dedup,
+        op6_pii,
+        op7_packing,
+        op8_lm_scoring,
+        op9_simhash,
+        op10_decontamination,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
