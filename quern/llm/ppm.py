@@ -72,7 +72,7 @@ class Table:
         below = self.mix(np.where(excluded, 0, zero), np.full((257, 256), 1.0) * ~seen0 / max(1, 256 - seen0.sum()), (256 - seen0.sum()) > 0)
         first = self.mix(one, below[:256], True)
         first[one.sum(axis=1) == 0] = below[256]
-        self.logs = np.empty((65536, 256), dtype=np.float32)
+        self.logs = two.astype(np.float32, copy=False)  # filled in place: a block of counts is read before it is written
         for a in range(256):  # a block of contexts (a, *) at a time keeps the work arrays small
             own = two[a * 256 : (a + 1) * 256].astype(np.float64)
             shorter = self.mix(np.where(own > 0, 0, one), below[:256], True)
@@ -176,8 +176,9 @@ def count_words(docs: DataFrame) -> DataFrame:
                 if training:
                     mine.update(words)
                 else:
-                    for w in set(words).difference(mine):
-                        mine[w] = 0
+                    for w in set(words):
+                        if w not in mine:  # set.difference would walk the whole counter
+                            mine[w] = 0
                 kinds += len(mine) - before
             if kinds > WORDS_HELD:
                 yield from flush()
