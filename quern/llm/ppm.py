@@ -30,11 +30,11 @@ from quern.llm import common
 
 ORDER = 2
 LEAVES = 1 << 24
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 #: Ranges of ids that chunks are cut along; more chunks than that split a range by a hash of the id.
 MOST_RANGES = 256
 #: Distinct words that a counting task holds before it sends them on.
-WORDS_HELD = 500_000
+WORDS_HELD = 200_000
 BYTES_AT_ONCE = 1 << 20
 SCORE_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
