@@ -78,17 +78,20 @@ class Encoder:
     def learn(self, new: list[str]) -> None:
         """Remembers the ids of chunks. Most are encoded as parts of long texts, whose ids tell where each chunk ends:
         at a digit's own id put between them, or where a token holds the space that opens the next chunk."""
-        letters = [c for c in new if c.isalpha() and only_latin1(c) and (not self.drops_space or c == c.lower())]
-        others = list(set(new).difference(letters))
+        mark = " 0 " if self.drops_space else ""
+        letters = [c for c in new if c.isalpha()]
+        others = [c for c in new if not c.isalpha()] if len(letters) < len(new) else []
         if self.drops_space:
             odd = [c for c in others if "0" in c]
             self.seen.update(zip(odd, self.whole(odd), strict=True))
             others = [c for c in others if "0" not in c]
-        for tokenizer, plain in ((self.letters, letters), (self.tokenizer, others)):
+        for plain in (letters, others):
             groups = [plain[i : i + CHUNKS_AT_ONCE] for i in range(0, len(plain), CHUNKS_AT_ONCE)]
-            joined = [" 0 ".join(g) if self.drops_space else " " + " ".join(g) for g in groups]
-            for group, e in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, dtype="<u4")
+            for group in groups:
+                joined = mark.join(group) if self.drops_space else " " + " ".join(group)
+                simple = plain is letters and only_latin1(joined) and (not self.drops_space or joined == joined.lower())
+                tokenizer = self.letters if simple else self.tokenizer
+                ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
                 if self.drops_space:
                     marks = np.flatnonzero(ids == self.mark)
                     ends = np.append(marks, len(ids)).tolist()
@@ -119,11 +122,13 @@ class Encoder:
             seen[""] = b""
             new.discard("")
             ending = [c for c in new if c[-1] in ENDINGS and c[-2:-1].isalpha()]
-            self.learn([c for c in {*new, *[c[:-1] for c in ending]}.difference(ending) if c not in seen])
-            for mark, ids in zip(ENDINGS, self.whole(list(ENDINGS)), strict=True):
-                for c in ending:
-                    if c[-1] == mark:
-                        seen[c] = seen[c[:-1]] + ids
+            if ending:
+                new.difference_update(ending)
+                new.update({c[:-1] for c in ending}.difference(seen))
+            self.learn(list(new))
+            marks = dict(zip(ENDINGS, self.whole(list(ENDINGS)), strict=True))
+            for c in ending:
+                seen[c] = seen[c[:-1]] + marks[c[-1]]
         ids_of = seen.__getitem__
         for i in rest:
             out[i] += b"".join(map(ids_of, cut[i]))
