@@ -12,7 +12,7 @@ from quern.functions import text as T
 
 # Fixed values.
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp")
-FAILED_IMAGE_PATTERNS = (r"Failed to process ([^\s:]+)", r"OCR failed for ([^\s:]+)", r"Error processing ([^\s:]+)", r"Skipping ([^\s:]+)", r"failed: ([^\s:]+\.png)")
+FAILED_IMAGE_PATTERNS = (r"\[⚠ missing\]\s+(.+?\.png)", r"\[🚫\]\s+(.+?\.png)", r"OCR failed on\s+(.+?\.png)", r"\[✖\].*?\s+(.+?\.png)", r"\[❌\]\s+No text from:\s+(.+?\.png)")
 ANALYSIS = "job_id string, job_text string, similarity double, best_resume string, gemini_response string, application_status string, processed_at string"
 
 
@@ -52,8 +52,9 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """(path, text) of each text file."""
-    df = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # the metadata is a url
+    return df.select(path.alias("path"), F.col("value").alias("text"))
 
 
 def page_texts(spark: SparkSession, path: str) -> DataFrame:
