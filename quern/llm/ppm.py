@@ -17,10 +17,10 @@ back to be looked up where the chunk's texts are.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -159,8 +159,6 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(chunk, word, n): how often the training texts of a chunk hold each word; 0 for words only its others hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
         held: dict[int, Counter] = {}
         kinds = 0
 
@@ -203,25 +201,30 @@ def score(docs: DataFrame, training: Column | None = None, chunk_bytes: int = CH
     docs = docs.withColumn("chunk", chunk_of(docs, chunk_bytes))
     same = Window.partitionBy("word")
     words = count_words(docs).withColumn("c", F.sum("n").over(same)).withColumn("first", F.row_number().over(same.orderBy("chunk")) == 1)
-    words = common.stored(words.where("c > 0").select("chunk", "word", "c", "first"), "words")
+    words = common.stored(words.where("c > 0").select("chunk", "word", "n", "c", "first"), "words")
     totals = words.where("first").agg(F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n_train = docs.where("training").count()
     tokens, kinds = totals.n + n_train, totals.kinds + (n_train > 0)
 
-    def run(key: tuple, texts: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-        if not len(texts):
-            return pd.DataFrame({c.split()[0]: [] for c in SCORE_SCHEMA.split(", ")})
-        known = dict(zip(counted["word"], counted["c"], strict=True))
-        raw = [prepared(t) for t in texts["text"]]
-        rows = []
+    def run(texts: pa.Table, elsewhere: pa.Table) -> pa.Table:
+        raw, training = [prepared(t) for t in texts.column("text").to_pylist()], texts.column("training").to_pylist()
+        known: dict[bytes, int] = Counter()
+        for t, learned in zip(raw, training, strict=True):
+            if learned:
+                known.update(t.split())
+        dict.update(known, zip(elsewhere.column("word").to_pylist(), elsewhere.column("c").to_pylist(), strict=True))
+        n, n_known, base = [], [], []
         for t in raw:
             found = np.array([known.get(w, 0) for w in t.split()] + [n_train], dtype=np.float64)
-            rows.append((len(found), int((found > 0).sum()), float(np.log10(found + 1).sum() - len(found) * np.log10(tokens + kinds + 1))))
-        n, n_known, base = zip(*rows, strict=True)
-        return pd.DataFrame({"doc_id": texts["doc_id"], "held_out": ~texts["training"], "n_tokens": n, "n_known": n_known, "train_tokens": tokens, "base_score": base, "score": _table(model, sent).scores(raw)})
-
-    grouped = docs.groupBy("chunk").cogroup(words.select("chunk", "word", "c").groupBy("chunk"))
-    return grouped.applyInPandas(run, SCORE_SCHEMA)
+            n.append(len(found))
+            n_known.append(int((found > 0).sum()))
+            base.append(float(np.log10(found + 1).sum() - len(found) * np.log10(tokens + kinds + 1)))
+        columns = [texts.column("doc_id"), pa.array([not x for x in training], pa.bool_()), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array([tokens] * len(n), pa.int64()), pa.array(base, pa.float64()), pa.array(_table(model, sent).scores(raw) if raw else [], pa.float64())]
+        return pa.table(columns, names=[c.split()[0] for c in SCORE_SCHEMA.split(", ")])
+
+    # a chunk counts its own training texts again; only words that others hold as well have to come back to it
+    shared = words.where("c != n").select("chunk", "word", "c")
+    return docs.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(run, SCORE_SCHEMA)
 
 
 _tables: dict[str, Table] = {}
