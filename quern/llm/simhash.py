@@ -27,11 +27,14 @@ BUDGET = 3
 SHINGLE_WORDS = 3
 SEED = 42
 #: Fingerprints of a subtrie beyond which it is dealt out once more.
-SUBTRIE_ROWS = 2_000
-#: Times a subtrie may be dealt out again: each fixes a (budget + 1)-th of the bits that are left.
-DEALS = 4
-#: Node pairs that are expanded together.
+SUBTRIE_ROWS = 10_000
+#: Times a subtrie may be dealt out again: each fixes a (budget + 1)-th of the bits that are left. That parts fingerprints
+#: that merely share a block; what still meets after it lies within a few bits, and dealing it again would only copy it.
+DEALS = 2
+#: Node pairs, or pairs of fingerprints, that are handled together.
 PAIRS_AT_ONCE = 200_000
+#: A node pair of at most so many pairs of fingerprints is compared directly.
+LEAF_PAIRS = 64
 #: Hashes whose bits are counted together.
 HASHES_AT_ONCE = 1 << 16
 
@@ -79,29 +82,33 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def trie_links(groups: np.ndarray, prints: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) of prints in the same group whose fingerprints differ in at most budget bits.
-
-    groups and prints are sorted by (group, print); prints of a group are distinct."""
+def trie_links(groups: np.ndarray, prints: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j), i before j, of prints in the same group whose fingerprints differ in at most budget bits, in
+    bounded batches. groups and prints are sorted by (group, print); prints of a group are distinct."""
     edges = np.flatnonzero(np.diff(groups)) + 1
     lo, hi = np.concatenate([[0], edges]), np.concatenate([edges, [len(groups)]])
     many = hi - lo > 1
     zero = np.zeros(int(many.sum()), dtype=np.int64)
     stack = [(zero, lo[many], hi[many], lo[many], hi[many], zero)]
-    left, right = [], []
     while stack:
         depth, alo, ahi, blo, bhi, diff = stack.pop()
         if len(alo) > PAIRS_AT_ONCE:
-            for i in range(0, len(alo), PAIRS_AT_ONCE):
-                stack.append(tuple(x[i : i + PAIRS_AT_ONCE] for x in (depth, alo, ahi, blo, bhi, diff)))
+            half = len(alo) // 2
+            stack += [tuple(x[half:] for x in (depth, alo, ahi, blo, bhi, diff)), tuple(x[:half] for x in (depth, alo, ahi, blo, bhi, diff))]
             continue
-        leaves = (ahi - alo == 1) & (bhi - blo == 1) & (alo != blo)
-        if leaves.any():
-            a, b = alo[leaves], blo[leaves]
-            near = np.bitwise_count(prints[a] ^ prints[b]) <= budget
-            left.append(a[near])
-            right.append(b[near])
-        go = ~leaves & ~((alo == blo) & (ahi - alo == 1))
+        na, nb = ahi - alo, bhi - blo
+        small = na * nb <= LEAF_PAIRS
+        chosen = np.flatnonzero(small)
+        for k in range(0, len(chosen), PAIRS_AT_ONCE // 16):
+            part = chosen[k : k + PAIRS_AT_ONCE // 16]
+            n = na[part] * nb[part]
+            node = np.repeat(part, n)
+            within = np.arange(len(node)) - np.repeat(np.cumsum(n) - n, n)
+            i, j = alo[node] + within // nb[node], blo[node] + within % nb[node]
+            near = (i < j) & (np.bitwise_count(prints[i] ^ prints[j]) <= budget)
+            if near.any():
+                yield i[near], j[near]
+        go = ~small
         if not go.any():
             continue
         depth, alo, ahi, blo, bhi, diff = (x[go] for x in (depth, alo, ahi, blo, bhi, diff))
@@ -110,22 +117,22 @@ def trie_links(groups: np.ndarray, prints: np.ndarray, budget: int) -> tuple[np.
         depth = np.maximum(depth, _leading_zeros(spread & _below(depth)))
         bit = np.uint64(1) << (BITS - 1 - depth).astype(np.uint64)
         amid, bmid = _split(prints, alo, ahi, bit), _split(prints, blo, bhi, bit)
-        same = alo == blo
+        other = alo != blo
         parts = [
             (alo, amid, blo, bmid, diff, None),
             (amid, ahi, bmid, bhi, diff, None),
             (alo, amid, bmid, bhi, diff + 1, None),
-            (amid, ahi, blo, bmid, diff + 1, ~same),
+            (amid, ahi, blo, bmid, diff + 1, other),
         ]
+        below = []
         for a0, a1, b0, b1, d, only in parts:
-            alive = (a1 > a0) & (b1 > b0) & (d <= budget) & (depth + 1 <= BITS)
+            alive = (a1 > a0) & (b1 > b0) & (d <= budget)
             if only is not None:
                 alive &= only
-            if alive.any():
-                stack.append((depth[alive] + 1, a0[alive], a1[alive], b0[alive], b1[alive], d[alive]))
-    if not left:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(left), np.concatenate(right)
+            below.append((depth[alive] + 1, a0[alive], a1[alive], b0[alive], b1[alive], d[alive]))
+        level = tuple(np.concatenate(x) for x in zip(*below, strict=True))
+        if len(level[0]):
+            stack.append(level)
 
 
 def _below(depth: np.ndarray) -> np.ndarray:
@@ -155,17 +162,17 @@ def _split(prints: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray)
     return lo
 
 
-def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest index linked to each of n: hooking and pointer jumping on arrays."""
+def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The smallest index that links join each of n to: hooking and pointer jumping, batch by batch."""
     root = np.arange(n)
-    while len(left):
-        a, b = root[left], root[right]
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        np.minimum.at(root, high, low)
-        while (up := root[root] != root).any():
-            root = np.where(up, root[root], root)
-        rest = root[left] != root[right]
-        left, right = left[rest], right[rest]
+    for left, right in links:
+        while len(left):
+            a, b = root[left], root[right]
+            apart = a != b
+            left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while (root[root] != root).any():
+                root = root[root]
     return root
 
 
@@ -229,7 +236,7 @@ def _joined(rows: DataFrame, budget: int) -> DataFrame:
             number = np.concatenate([[0], np.cumsum((np.diff(group, axis=0) != 0).any(axis=1))])
             order = np.lexsort((fp, number))
             number, fp = number[order], fp[order]
-            root = forest(len(fp), *trie_links(number, fp, budget))
+            root = forest(len(fp), trie_links(number, fp, budget))
             moved = np.flatnonzero(root != np.arange(len(root)))
             if len(moved):
                 yield pa.RecordBatch.from_arrays([pa.array(fp[moved].view(np.int64)), pa.array(fp[root[moved]].view(np.int64))], names=["a", "b"])
