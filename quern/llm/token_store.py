@@ -1,10 +1,10 @@
 """Token-ID output: one concatenated id array with Elias-Fano encoded document boundaries.
 
 File format. A store is a Parquet folder of blocks. The documents are in ascending (doc_id, text) order; a shard is one
-write task's range of them and a block at most BLOCK_TOKENS ids of a shard, so that no reader needs more than a block in
+write task's range of them (numbered in order) and a block at most BLOCK_TOKENS ids of a shard, so that no reader needs more than a block in
 memory (a single longer document is a block of its own). A block's row holds
 
-* shard, block: its place; doc_ids: its documents' ids, delta coded (zigzag varints), a null flag kept apart;
+* shard, block: its place; task, first_id, last_id, ascending: what its order is verified by; doc_ids: its documents' ids, delta coded (zigzag varints), a null flag kept apart;
 * n_docs, n_tokens: counts; width: bytes of an id, 2 if the vocabulary fits, else 4; ids: the little-endian id array;
 * low, low_bits, high, select: the Elias-Fano code of the documents' end offsets in that array.
 
@@ -30,7 +30,7 @@ BLOCK_TOKENS = 1 << 20
 SELECT_EVERY = 64
 #: Texts encoded together.
 TEXTS_AT_ONCE = 256
-BLOCK_SCHEMA = "shard int, block int, doc_ids binary, nulls binary, n_docs int, n_tokens long, width int, ids binary, low binary, low_bits int, high binary, select binary"
+BLOCK_SCHEMA = "shard int, block int, task int, first_id long, last_id long, ascending boolean, doc_ids binary, nulls binary, n_docs int, n_tokens long, width int, ids binary, low binary, low_bits int, high binary, select binary"
 ROW_SCHEMA = "shard int, block int, pos int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 TOKEN_SCHEMA = "shard int, block int, pos int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
@@ -116,29 +116,82 @@ def unpack_ids(packed: bytes, nulls: bytes, n: int) -> list[int | None]:
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     """Encodes every text of docs (doc_id, text; null counts as empty), appends end_id to each, and writes the store.
 
-    The rows are dealt out by ranges of doc_id, so shards are in order and a hot id range is split by size of sample; rows
-    of one id stay in one shard, ordered by text. An empty table gives an empty store."""
+    A table whose partitions already are ascending ranges of ids, as corpora are mostly written, is encoded where it lies:
+    its ids are looked at first, and the order of what was written is verified. Any other table is dealt out by ranges
+    of doc_id. Rows of one id stay in one shard, ordered by text. An empty table gives an empty store."""
     spark = docs.sparkSession
     common.small_text_batches(spark)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ranks = _ascending_partitions(rows)
+    if ranks is not None:
+        rows.mapInArrow(_block_writer(tokenizer, end_id, ranks), BLOCK_SCHEMA).write.parquet(path)
+        if _in_order(spark, path):
+            return
+        common.remove(spark, path)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    ranged.mapInArrow(_block_writer(tokenizer, end_id, None), BLOCK_SCHEMA).write.parquet(path)
+
+
+def _ascending_partitions(rows: DataFrame) -> dict[int, int] | None:
+    """partition -> its place, if each partition's ids strictly ascend and no two partitions overlap; else None.
+
+    Reads the ids alone and fetches a row for each partition."""
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        first = last = None
+        ascending = True
+        for batch in batches:
+            ids = batch.column("doc_id")
+            if not len(ids):
+                continue
+            ascending = ascending and not ids.null_count
+            if ascending:
+                values = ids.to_numpy()
+                ascending = bool((np.diff(values) > 0).all()) and (last is None or last < values[0])
+                first, last = (int(values[0]) if first is None else first), int(values[-1])
+        if first is not None or not ascending:
+            yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "first": first, "last": last, "ascending": ascending}], schema=pa.schema([("part", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("ascending", pa.bool_())]))
+
+    parts = rows.select("doc_id").mapInArrow(ends, "part int, first long, last long, ascending boolean").collect()
+    if not all(r.ascending for r in parts):
+        return None
+    parts.sort(key=lambda r: r.first)
+    if any(a.last >= b.first for a, b in zip(parts, parts[1:], strict=False)):
+        return None
+    return {r.part: k for k, r in enumerate(parts)}
+
+
+def _in_order(spark: SparkSession, path: str) -> bool:
+    """Whether the shards written are ascending in themselves and one after the other."""
+    shards = spark.read.schema(BLOCK_SCHEMA).parquet(path).groupBy("shard").agg(F.min("first_id").alias("a"), F.max("last_id").alias("b"), F.bool_and("ascending").alias("ok"), F.count_distinct("task").alias("tasks")).orderBy("shard").collect()
+    return all(r.ok and r.tasks == 1 for r in shards) and all(x.b < y.a for x, y in zip(shards, shards[1:], strict=False))
+
+
+def _block_writer(tokenizer: str, end_id: int, ranks: dict[int, int] | None):
+    """A function of a task's rows that yields its blocks. ranks gives the shard of each partition, by default its own number."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard, block = TaskContext.get().partitionId(), 0
+        task, block = TaskContext.get().partitionId(), 0
+        shard = task if ranks is None else ranks.get(task, -1)
         encode = encoder(tokenizer, drops_space=False)
         width = 2 if max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], dtype="<u4").tobytes()
         ids: list[int | None] = []
         held: list[bytes] = []
-        tokens = 0
+        tokens, before, ascending = 0, None, True
 
         def flush() -> pa.RecordBatch:
             lengths = np.array([len(x) // 4 for x in held], dtype=np.int64)
             low, low_bits, high, select = EliasFano.encode(np.cumsum(lengths))
             packed, nulls = pack_ids(ids)
             body = np.frombuffer(b"".join(held), dtype="<u4").astype(f"<u{width}").tobytes()
-            row = [shard, block, packed, nulls, len(ids), int(lengths.sum()), width, body, low, low_bits, high, select]
+            named = [x for x in ids if x is not None]
+            row = [shard, block, task, min(named, default=None), max(named, default=None), ascending, packed, nulls, len(ids), int(lengths.sum()), width, body, low, low_bits, high, select]
             return pa.RecordBatch.from_pylist([dict(zip(_names(BLOCK_SCHEMA), row, strict=True))], schema=_arrow(BLOCK_SCHEMA))
 
         for batch in batches:
@@ -149,14 +202,15 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None
                     if held and tokens + size > BLOCK_TOKENS:
                         yield flush()
                         ids, held, tokens, block = [], [], 0, block + 1
+                    ascending = ascending and key is not None and (before is None or before < key)
+                    before = key
                     ids.append(key)
                     held.append(raw + end)
                     tokens += size
         if held:
             yield flush()
 
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(path)
+    return blocks
 
 
 def read_store(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -200,5 +254,5 @@ def _names(schema: str) -> list[str]:
 
 
 def _arrow(schema: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+    kinds = {"boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
     return pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")])

@@ -14,7 +14,7 @@ import numpy as np
 from quern.llm.common import env_threads_off
 
 #: Chunks a worker remembers, at about 200 bytes each; beyond it the longer ones, which are rarely met again, are dropped.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 700_000
 COMMON_LENGTH = 8
 #: Unseen chunks that are encoded as one text.
 CHUNKS_AT_ONCE = 2_000

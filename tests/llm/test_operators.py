@@ -160,8 +160,11 @@ def test_elias_fano():
 
 def test_token_store_round_trip(spark, sf_dir, tmp_path):
     encode = tokenizer(queries.BYTE_TOKENIZER)
-    for df in (documents(spark, sf_dir), odd(spark)):
-        path = f"file://{tmp_path}/{df.count()}"
+    shuffled = documents(spark, sf_dir).repartition(5, "text")
+    assert token_store._ascending_partitions(documents(spark, sf_dir).select("doc_id", "text")) == {0: 0}
+    assert token_store._ascending_partitions(shuffled.select("doc_id", "text")) is None
+    for k, df in enumerate((documents(spark, sf_dir), shuffled, odd(spark))):
+        path = f"file://{tmp_path}/{k}"
         token_store.write_store(df, path, queries.tokenizer_path(queries.BYTE_TOKENIZER), 2)
         table = sorted(((r.doc_id, r.text) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
         start, expected = 0, []
