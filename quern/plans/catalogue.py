@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.functions import dates, records
+from quern.functions import boxes, dates, messages, records
 from quern.functions import text as T
-from quern.operators import dedup, extract, match, ratelimit, state, windows
+from quern.operators import dedup, extract, keys, match, ratelimit, state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -509,3 +509,66 @@ def set_difference(spark, sf_dir):
 @query("SELECT CAST(k AS INT) AS attempt, least(10.0 * pow(2, k), 300.0) AS pause FROM range(0, 8) r(k)")
 def backoff_ladder(spark, sf_dir):
     return spark.range(8).select(F.col("id").cast("int").alias("attempt"), records.backoff(10, F.col("id"), 300).alias("pause"))
+
+
+# Boxes, messages and keys
+
+BOX = "l_orderkey, l_linenumber, CAST(l_partkey % 400 AS DOUBLE) AS w, CAST(l_suppkey % 90 + l_quantity AS DOUBLE) AS h, CAST(l_partkey % 700 AS DOUBLE) AS y"
+
+
+def box_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h, y = F.col("l_partkey") % 400, F.col("l_suppkey") % 90 + F.col("l_quantity"), F.col("l_partkey") % 700
+    return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", w.cast("double").alias("w"), h.cast("double").alias("h"), y.cast("double").alias("y"))
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, coalesce(w > 80 AND h > 40 AND w * h > 5000 AND w / nullif(h, 0) > 0.1 AND w / nullif(h, 0) < 10, false) AS block,
+coalesce(w > 100 AND h > 60 AND w < 0.95 * 390 AND w * h > 12000 AND w / nullif(h, 0) > 0.25 AND w / nullif(h, 0) < 4 AND y > 300, false) AS draft,
+CASE WHEN w < 50 OR h < 30 THEN 'tiny' WHEN y / 700 < 0.12 THEN 'graphic' WHEN l_linenumber > 4 THEN 'text' ELSE 'ok' END AS class FROM (SELECT {BOX} FROM lineitem)
+""")
+def box_filters(spark, sf_dir):
+    w, h, y = F.col("w"), F.col("h"), F.col("y")
+    false = F.lit(False)
+    block, draft = F.coalesce(boxes.is_block(w, h, w * h), false), F.coalesce(boxes.is_draft_block(w, h, y, F.lit(390)), false)
+    return box_rows(spark, sf_dir).select("l_orderkey", "l_linenumber", block.alias("block"), draft.alias("draft"), boxes.crop_class(w, h, y / 700, F.col("l_linenumber") > 4).alias("class"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY y, w, l_linenumber) AS INT) AS block FROM (SELECT {BOX} FROM lineitem)")
+def box_order(spark, sf_dir):
+    w = Window.partitionBy("l_orderkey").orderBy("y", "w", "l_linenumber")
+    return box_rows(spark, sf_dir).select("l_orderkey", "l_linenumber", F.row_number().over(w).alias("block"))
+
+
+@query("""
+WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS x, value FROM events),
+f AS (SELECT user_id, x, (value - min(value) OVER u) / (max(value) OVER u - min(value) OVER u + 1e-5) < 0.3 AS gap, max(x) OVER u + 1 AS width FROM p WINDOW u AS (PARTITION BY user_id)),
+g AS (SELECT user_id, width, min(x) AS a, max(x) + 1 AS b FROM (SELECT user_id, x, width, x - row_number() OVER (PARTITION BY user_id ORDER BY x) AS run FROM f WHERE gap) GROUP BY user_id, width, run HAVING count(*) >= 2 AND max(x) + 1 < width),
+c AS (SELECT user_id, a, b FROM g UNION ALL SELECT user_id, max(width), max(width) FROM f GROUP BY user_id),
+l AS (SELECT user_id, coalesce(lag(b) OVER (PARTITION BY user_id ORDER BY a, b), 0) AS x0, a AS x1 FROM c)
+SELECT user_id, CAST(x0 AS INT) AS x0, CAST(x1 AS INT) AS x1 FROM l WHERE x1 - x0 >= 3
+""")
+def column_bounds(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    profile = t(spark, sf_dir, "events").select("user_id", (F.row_number().over(w) - 1).alias("x"), "value")
+    return boxes.columns(profile, ["user_id"], gap=0.3, gap_width=2, column_width=3)
+
+
+@query("""
+SELECT o_orderkey, md5('FILE: ' || o_orderstatus || chr(10) || '---CONTENT_START---' || chr(10) || o_orderpriority || chr(10) || '---CONTENT_END---' || chr(10) || chr(10) || 'FILE: b' || chr(10) || '---CONTENT_START---' || chr(10) || 'x' || chr(10) || '---CONTENT_END---' || chr(10)) AS prompt_md5 FROM orders
+""")
+def batch_prompts(spark, sf_dir):
+    prompt = messages.batch_prompt(F.array("o_orderstatus", F.lit("b")), F.array("o_orderpriority", F.lit("x")))
+    return t(spark, sf_dir, "orders").select("o_orderkey", F.md5(prompt).alias("prompt_md5"))
+
+
+@query()
+def job_messages(spark, sf_dir):
+    o = t(spark, sf_dir, "orders")
+    text = F.concat(F.lit("Acme Power Corporation | apply by "), dates.display(F.col("o_orderdate")), F.lit(" https://example.com/"), F.col("o_orderkey").cast("string"))
+    return o.select("o_orderkey", messages.job_message(text, F.lit(0.35), F.lit(4), F.col("o_orderdate")).alias("message"))
+
+
+@query()
+def key_rotation(spark, sf_dir):
+    asked = t(spark, sf_dir, "events").where("event_type = 'click'").select("event_id", "ts", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("s"))
+    return keys.assign(asked, ["ts", "event_id"], "s", ["a", "b", "c"]).select("event_id", "label")

@@ -310,3 +310,58 @@ def test_files(spark, tmp_path):
     assert [(r.line_no, r.line) for r in lines] == [(0, "- a"), (1, ""), (2, " - b ")]
     kept = files.prefiltered(spark.createDataFrame([("a\x00 job post",), (" ",)], "text string"), "text", T.has_keywords(C("text"))).collect()
     assert [(r.text, r.status) for r in kept] == [("a job post", "candidate"), ("", "skipped")]
+
+
+def test_boxes(spark):
+    from quern.functions import boxes
+
+    def block(w, h, area):
+        return one(spark, boxes.is_block(F.lit(w), F.lit(h), F.lit(area)))
+
+    assert block(81, 41, 5001) is True
+    assert [block(80, 41, 5001), block(81, 40, 5001), block(81, 41, 5000), block(410, 41, 9999), block(82, 900, 9999)] == [False] * 5
+    assert one(spark, boxes.reader_scale(F.lit(1536))) == 0.5
+    values = [9] * 250 + [0] * 25 + [9] * 100 + [0] * 30 + [9] * 220 + [0] * 40
+    profile = spark.createDataFrame([(1, x, float(v)) for x, v in enumerate(values)], "img int, x int, value double")
+    # the last run of blanks reaches the edge and so is no gap; the middle part is too narrow
+    assert sorted((r.x0, r.x1) for r in boxes.columns(profile, ["img"]).collect()) == [(0, 250), (405, 665)]
+
+
+def test_messages(spark):
+    from quern.functions import messages
+
+    text = one(spark, messages.job_message(C("x"), F.lit(0.355), F.lit(None), F.lit("2025-07-01").cast("timestamp")), x="A&B Power Corporation needs clerks, apply by 3 July 2025")
+    assert "<b>🏢 A&amp;B Power Corporation</b>" in text or "Power Corporation</b>" in text
+    assert "🗓 Apply before: 3 July 2025" in text and "<b>Score:</b> N/A/5" in text and text.endswith("<i>Shortlisted on 1 July 2025</i>")
+    now = F.lit("2025-07-01 10:05:00").cast("timestamp")
+    assert one(spark, messages.summary_message(F.lit(3), F.lit(2), F.lit(1), F.lit(65), F.lit(None).cast("string"), now)) == ""
+    assert "• <b>Runtime:</b> 1m 5s" in one(spark, messages.summary_message(F.lit(3), F.lit(2), F.lit(1), F.lit(65), C("x"), now), x="job")
+    assert one(spark, messages.repository_line(C("x"), F.lit(""), F.lit("Python"), F.array(F.lit("a"), F.lit("b")), F.lit("r" * 300)), x="n") == "n | Python | a, b | " + "r" * 200
+
+
+def test_keys(spark, tmp_path):
+    from quern.operators import keys
+
+    (tmp_path / "c.json").write_text('{"api_keys": "k1"}')
+    assert keys.config(spark, f"file://{tmp_path}/c.json")["api_keys"] == ["k1"]
+    assert keys.config(spark, f"file://{tmp_path}/none.json") == keys.DEFAULTS
+    rotation = keys.Rotation(["a", "b"], ratelimit.Limits(burst=2))
+    assert [rotation.next(0.0) for _ in range(5)] == ["a", "b", "a", "b", None]
+    asked = spark.createDataFrame([(i, float(i % 3)) for i in range(7)], "i int, s double")
+    out = [r.label for r in keys.assign(asked, ["s", "i"], "s", ["a", "b"], ratelimit.Limits(burst=1, per_minute=0.001)).collect()]
+    assert out == ["a", "b", None, None, None, None, None]
+    errors = spark.createDataFrame([("no_key_available",), ("No API key available now",), ("x",), (None,)], "e string")
+    assert [r[0] for r in errors.select(keys.no_key_available("e")).collect()] == [True, True, False, False]
+
+
+def test_command_line(spark, tmp_path):
+    from quern.__main__ import main
+
+    spark.createDataFrame([("j1", "a", [1.0, 0.0]), ("j2", "b", [0.0, 1.0])], "job_id string, job_text string, embedding array<float>").write.parquet(f"{tmp_path}/jobs")
+    spark.createDataFrame([(1, [1.0, 0.1])], "profile_id long, embedding array<float>").write.parquet(f"{tmp_path}/profiles")
+    for k, n in ((1, 1), (2, 0)):
+        main(["shortlist", f"{tmp_path}/jobs", f"{tmp_path}/profiles", f"{tmp_path}/out{k}", "--state", f"{tmp_path}/state"], spark)
+        assert spark.read.parquet(f"{tmp_path}/out{k}").count() == n
+    main(["history", f"{tmp_path}/state"], spark)
+    main(["clear-history", f"{tmp_path}/state"], spark)
+    assert state.StateTable(spark, f"{tmp_path}/state").read().count() == 0
