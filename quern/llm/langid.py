@@ -41,16 +41,22 @@ def prepared(text: str) -> bytes:
 def fit(labelled: DataFrame) -> dict[str, bytes]:
     """language -> dictionary, the commonest first, from labelled (doc_id, text, lang); rows without a language or a text teach nothing.
 
-    The sample is drawn on ids alone, with the top few of each language kept map-side, so a language that holds most
-    rows costs no more than others; only the sampled texts are fetched."""
+    The sample is drawn on ids alone, from a hash range that suits each language's frequency, so a language that holds
+    most rows costs no more than others; only the sampled texts are fetched."""
     rows = labelled.where("lang is not null and text is not null and doc_id is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
+    rows_of = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not rows_of:
+        return {}
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    # a few times the sample's share of each language, so that even the commonest meets in one task as some thousand ids
+    share = F.create_map(*[x for lang, n in rows_of.items() for x in (F.lit(lang), F.lit(min(1 << 40, (1 << 40) * 8 * SAMPLE_DOCS // n)))])
+    ids = rows.select("doc_id", "lang").where(place < share[F.col("lang")]).distinct()
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    chosen = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
     texts = rows.select("doc_id", "lang", F.substring("text", 1, DOCUMENT_BYTES).alias("text")).join(F.broadcast(chosen.drop("rank")), ["doc_id", "lang"])
-    by: dict[str, list[tuple[int, str]]] = {}
-    for r in texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect():
+    by: dict[str, list[str]] = {}
+    for r in texts.orderBy(place, "doc_id", "text").collect():
         by.setdefault(r.lang, []).append(r.text)
-    rows_of = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {lang: b" ".join(prepared(t) for t in by[lang])[-DICTIONARY_BYTES:] for lang in sorted(by, key=lambda x: (-rows_of[x], x))}
 
 
