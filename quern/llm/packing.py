@@ -23,7 +23,7 @@ from quern.llm import common
 from quern.llm.tokens import encoder
 
 CAPACITY = 4096
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 128
 #: Pieces of one length that one task ranks.
 RANKED_TOGETHER = 20_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"

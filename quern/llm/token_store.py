@@ -29,7 +29,7 @@ from quern.llm.tokens import encoder
 BLOCK_TOKENS = 1 << 20
 SELECT_EVERY = 64
 #: Texts encoded together.
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 128
 BLOCK_SCHEMA = "shard int, block int, task int, first_id long, last_id long, ascending boolean, doc_ids binary, nulls binary, n_docs int, n_tokens long, width int, ids binary, low binary, low_bits int, high binary, select binary"
 ROW_SCHEMA = "shard int, block int, pos int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 TOKEN_SCHEMA = "shard int, block int, pos int, doc_id long, local_start long, n_tokens long, ids array<int>"

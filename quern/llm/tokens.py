@@ -7,8 +7,6 @@ which a cut is not provably neutral (runs of white space, spaces at either end)
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 
 from quern.llm.common import env_threads_off
@@ -18,10 +16,11 @@ CACHE_CHUNKS = 700_000
 COMMON_LENGTH = 8
 #: Unseen chunks that are encoded as one text.
 CHUNKS_AT_ONCE = 2_000
-#: Marks that are tokens of their own after a letter at a chunk's end.
-ENDINGS = ",."
-#: White space other than the space and the line feed.
-RARE_SPACE = re.compile(r"[^\S \n]")
+#: Marks whose run at a chunk's end is a unit of its own after a letter. The apostrophe may open a contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# White space other than the space and the line feed, in ASCII and beyond.
+RARE_ASCII_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f"
+RARE_SPACE = RARE_ASCII_SPACE + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: How byte-level vocabularies write the space.
 SPACE_BYTE = "\u0120"
 
@@ -54,10 +53,12 @@ class Encoder:
         self.drops_space = drops_space
         self.seen: dict[str, bytes] = {}
         self.tidy = True
+        self.tails: dict[str, bytes] = {}
         if drops_space:
             (self.mark,) = self.tokenizer.encode("0", add_special_tokens=False).ids
         else:
             vocabulary = self.tokenizer.get_vocab()
+            (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
             self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.opens[[i for t, i in vocabulary.items() if t.startswith(SPACE_BYTE)]] = True
 
@@ -66,13 +67,16 @@ class Encoder:
 
     def chunks(self, text: str) -> list[str] | None:
         """The text's parts between single spaces, or None if the text has to be encoded whole. Each part but the first
-        stands for itself with the space before it; where white space is discarded, empty parts are harmless."""
+        stands for itself with the space before it, or with the line feed that it begins with. Where white space is
+        discarded, empty parts are harmless."""
         if self.drops_space:
             if only_latin1(text):
                 text = text.lower()
             return text.replace("\n", " ").split(" ")
-        if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or RARE_SPACE.search(text):
+        if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or any(map(text.__contains__, RARE_ASCII_SPACE if text.isascii() else RARE_SPACE)):
             return None
+        if "\n\n" not in text:
+            text = text.replace("\n", " \n")
         return text.split(" ")
 
     def learn(self, new: list[str]) -> None:
@@ -81,14 +85,18 @@ class Encoder:
         mark = " 0 " if self.drops_space else ""
         letters = [c for c in new if c.isalpha()]
         others = [c for c in new if not c.isalpha()] if len(letters) < len(new) else []
+        lines: list[str] = []
         if self.drops_space:
             odd = [c for c in others if "0" in c]
             self.seen.update(zip(odd, self.whole(odd), strict=True))
             others = [c for c in others if "0" not in c]
-        for plain in (letters, others):
+        else:
+            lines = [c for c in others if c[0] == "\n"]
+            others = [c for c in others if c[0] != "\n"]
+        for plain in (letters, others, lines):
             groups = [plain[i : i + CHUNKS_AT_ONCE] for i in range(0, len(plain), CHUNKS_AT_ONCE)]
             for group in groups:
-                joined = mark.join(group) if self.drops_space else " " + " ".join(group)
+                joined = mark.join(group) if self.drops_space or plain is lines else " " + " ".join(group)
                 simple = plain is letters and only_latin1(joined) and (not self.drops_space or joined == joined.lower())
                 tokenizer = self.letters if simple else self.tokenizer
                 ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -97,7 +105,7 @@ class Encoder:
                     ends = np.append(marks, len(ids)).tolist()
                     starts = [0, *(marks + 1).tolist()]
                 else:
-                    starts = np.flatnonzero(self.opens[ids]).tolist()
+                    starts = np.flatnonzero(ids == self.line if plain is lines else self.opens[ids]).tolist()
                     ends = [*starts[1:], len(ids)]
                 raw = ids.tobytes()
                 self.seen.update(zip(group, [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], strict=True))
@@ -114,6 +122,8 @@ class Encoder:
                 out[i] = ids
                 del cut[i][0]
         seen = self.seen
+        if len(self.tails) > CACHE_CHUNKS // 8:
+            self.tails.clear()
         if len(seen) > CACHE_CHUNKS:
             seen = self.seen = {c: ids for c, ids in seen.items() if len(c) <= COMMON_LENGTH} if self.tidy else {}
             self.tidy = len(seen) < CACHE_CHUNKS // 2
@@ -121,14 +131,15 @@ class Encoder:
         if new:
             seen[""] = b""
             new.discard("")
-            ending = [c for c in new if c[-1] in ENDINGS and c[-2:-1].isalpha()]
+            ending = [(c, base) for c in new if c[-1] in MARKS and (base := c.rstrip(MARKS))[-1:].isalpha()]
             if ending:
-                new.difference_update(ending)
-                new.update({c[:-1] for c in ending}.difference(seen))
+                new.difference_update([c for c, _ in ending])
+                new.update({base for _, base in ending}.difference(seen))
             self.learn(list(new))
-            marks = dict(zip(ENDINGS, self.whole(list(ENDINGS)), strict=True))
-            for c in ending:
-                seen[c] = seen[c[:-1]] + marks[c[-1]]
+            tails = list({c[len(base) :] for c, base in ending}.difference(self.tails))
+            self.tails.update(zip(tails, self.whole(tails), strict=True))
+            for c, base in ending:
+                seen[c] = seen[base] + self.tails[c[len(base) :]]
         ids_of = seen.__getitem__
         for i in rest:
             out[i] += b"".join(map(ids_of, cut[i]))
