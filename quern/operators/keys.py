@@ -47,18 +47,22 @@ class Rotation:
         return None
 
 
-def assign(requests: DataFrame, order: Sequence[str], seconds: str, labels: Sequence[str], limits: Limits = Limits()) -> DataFrame:
-    """Adds label to requests (null where no key was usable), taken one after the other in the given order.
-
-    One service is one queue, so this is one task by its nature; rows stream through it with the buckets as only state."""
+def assign(requests: DataFrame, queue: str, order: Sequence[str], seconds: str, labels: Sequence[str], limits: Limits = Limits()) -> DataFrame:
+    """Adds label to requests (null where no key was usable). Each queue, a service with its own set of keys, takes its
+    requests one after the other in the given order; rows stream through with the queue's buckets as the only state."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema) + ", label string"
 
     def run(frames: Iterator) -> Iterator:
-        rotation = Rotation(list(labels), limits)
+        last, rotation = None, Rotation(list(labels), limits)
         for frame in frames:
-            yield frame.assign(label=[rotation.next(float(s)) for s in frame[seconds]])
-
-    return requests.coalesce(1).sortWithinPartitions(*order).mapInPandas(run, schema)
+            out = []
+            for name, now in zip(frame[queue], frame[seconds], strict=True):
+                if name != last:
+                    last, rotation = name, Rotation(list(labels), limits)
+                out.append(rotation.next(float(now)))
+            yield frame.assign(label=out)
+
+    return requests.repartition(queue).sortWithinPartitions(queue, *order).mapInPandas(run, schema)
 
 
 def no_key_available(error: str) -> F.col:

@@ -131,7 +131,7 @@ def sanitize_name(spark, sf_dir):
 
 
 def _replaced(pairs) -> str:
-    out = "substr(html, 1, 2000)"
+    out = "html"
     for a, b in pairs:
         out = f"replace({out}, '{a.replace(chr(39), chr(39) * 2)}', '{b}')"
     return out
@@ -139,8 +139,8 @@ def _replaced(pairs) -> str:
 
 @query(f"SELECT page_id, md5({_replaced(T.HTML_ESCAPES)}) AS plain, md5({_replaced(T.CODE_ESCAPES)}) AS code FROM pages")
 def html_escape(spark, sf_dir):
-    start = F.substring("html", 1, 2000)  # a message shows at most so much of a page
-    return t(spark, sf_dir, "pages").select("page_id", F.md5(T.escape_html(start)).alias("plain"), F.md5(T.escape_code(start)).alias("code"))
+    html = F.col("html")
+    return t(spark, sf_dir, "pages").select("page_id", F.md5(T.escape_html(html)).alias("plain"), F.md5(T.escape_code(html)).alias("code"))
 
 
 @query("""
@@ -286,8 +286,7 @@ def dup_report(spark, sf_dir):
 
 @query()
 def fuzzy_distinct(spark, sf_dir):
-    heads = t(spark, sf_dir, "documents").select("source", "lang", "doc_id", F.substring("text", 1, 200).alias("listing"))
-    return dedup.fuzzy_distinct(heads, ["source", "lang"], "doc_id", "listing")
+    return dedup.fuzzy_distinct(t(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), ["conv_id"], "turn", "text")
 
 
 @query("""
@@ -570,5 +569,8 @@ def job_messages(spark, sf_dir):
 
 @query()
 def key_rotation(spark, sf_dir):
-    asked = t(spark, sf_dir, "events").where("event_type = 'click'").select("event_id", "ts", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("s"))
-    return keys.assign(asked, ["ts", "event_id"], "s", ["a", "b", "c"]).select("event_id", "label")
+    asked = t(spark, sf_dir, "events").select("event_type", "event_id", "ts", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("s"))
+    return keys.assign(asked, "event_type", ["ts", "event_id"], "s", ["a", "b", "c"]).select("event_id", "label")
+
+
+from quern.plans import more  # noqa: E402, F401  (registers its queries)

@@ -26,7 +26,7 @@ def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() >= 0
 
 
-PYTHON = {"fuzzy_distinct", "greedy_packing", "token_bucket", "page_links"}
+PYTHON = {"fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation"}
 
 
 def plan(df) -> str:

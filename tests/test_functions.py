@@ -347,9 +347,9 @@ def test_keys(spark, tmp_path):
     assert keys.config(spark, f"file://{tmp_path}/none.json") == keys.DEFAULTS
     rotation = keys.Rotation(["a", "b"], ratelimit.Limits(burst=2))
     assert [rotation.next(0.0) for _ in range(5)] == ["a", "b", "a", "b", None]
-    asked = spark.createDataFrame([(i, float(i % 3)) for i in range(7)], "i int, s double")
-    out = [r.label for r in keys.assign(asked, ["s", "i"], "s", ["a", "b"], ratelimit.Limits(burst=1, per_minute=0.001)).collect()]
-    assert out == ["a", "b", None, None, None, None, None]
+    asked = spark.createDataFrame([(q, i, float(i % 3)) for q in "xy" for i in range(7)], "q string, i int, s double")
+    out = keys.assign(asked, "q", ["s", "i"], "s", ["a", "b"], ratelimit.Limits(burst=1, per_minute=0.001)).orderBy("q", "s", "i").collect()
+    assert [r.label for r in out] == ["a", "b", None, None, None, None, None] * 2
     errors = spark.createDataFrame([("no_key_available",), ("No API key available now",), ("x",), (None,)], "e string")
     assert [r[0] for r in errors.select(keys.no_key_available("e")).collect()] == [True, True, False, False]
 
