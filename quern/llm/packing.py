@@ -14,10 +14,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quern.llm import common
 from quern.llm.tokens import encoder
@@ -25,7 +25,7 @@ from quern.llm.tokens import encoder
 CAPACITY = 4096
 TEXTS_AT_ONCE = 128
 #: Pieces of one length that one task ranks.
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 1_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -149,13 +149,15 @@ def pack(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     order = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = rows.withColumn("_rank", F.row_number().over(order) - 1).join(sizes, ["length", "_bucket"])
 
-    @F.pandas_udf("struct<sequence_id: long, offset: long>")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        bin_id, offset = places.of(length.to_numpy(), rank.to_numpy())
-        return pd.DataFrame({"sequence_id": bin_id, "offset": offset})
+    named = piece_rows.columns
 
-    placed = ranked.withColumn("_place", place("length", F.col("_rank") + F.col("_before")))
-    return placed.select(*piece_rows.columns, "_place.sequence_id", "_place.offset")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bin_id, offset = places.of(batch.column("length").to_numpy(), batch.column("_rank").to_numpy())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in named], pa.array(bin_id), pa.array(offset)], names=[*named, "sequence_id", "offset"])
+
+    schema = StructType([*piece_rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    return ranked.select(*named, (F.col("_rank") + F.col("_before")).alias("_rank")).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

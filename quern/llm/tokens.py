@@ -11,8 +11,8 @@ import numpy as np
 
 from quern.llm.common import env_threads_off
 
-#: Chunks a worker remembers, at about 200 bytes each; beyond it the longer ones, which are rarely met again, are dropped.
-CACHE_CHUNKS = 700_000
+#: Chunks a worker remembers, at about 160 bytes each; beyond it the longer ones, which are rarely met again, are dropped.
+CACHE_CHUNKS = 500_000
 COMMON_LENGTH = 8
 #: Unseen chunks that are encoded as one text.
 CHUNKS_AT_ONCE = 2_000
@@ -44,12 +44,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
-        # for words of plain letters alone: nothing to normalise, and spaces are the only places to cut
-        self.letters = Tokenizer.from_file(path)
-        self.letters.encode_special_tokens = True
-        self.letters.normalizer = None
+        # how words of plain letters can be cut: there is nothing to normalise, and spaces are the only places
         at_spaces = pre_tokenizers.Split(" ", "removed" if drops_space else "merged_with_next")
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence([at_spaces, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.plain_cut = pre_tokenizers.Sequence([at_spaces, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.own_cut, self.own_normalizer = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
         self.drops_space = drops_space
         self.seen: dict[str, bytes] = {}
         self.tidy = True
@@ -65,6 +63,14 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def plainly(self, words: str) -> bytes:
+        """The ids of space-separated words of plain letters, without the tokenizer's own pattern and normaliser."""
+        self.tokenizer.pre_tokenizer, self.tokenizer.normalizer = self.plain_cut, None
+        try:
+            return self.whole([words])[0]
+        finally:
+            self.tokenizer.pre_tokenizer, self.tokenizer.normalizer = self.own_cut, self.own_normalizer
+
     def chunks(self, text: str) -> list[str] | None:
         """The text's parts between single spaces, or None if the text has to be encoded whole. Each part but the first
         stands for itself with the space before it, or with the line feed that it begins with. Where white space is
@@ -98,8 +104,7 @@ class Encoder:
             for group in groups:
                 joined = mark.join(group) if self.drops_space or plain is lines else " " + " ".join(group)
                 simple = plain is letters and only_latin1(joined) and (not self.drops_space or joined == joined.lower())
-                tokenizer = self.letters if simple else self.tokenizer
-                ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+                ids = np.frombuffer(self.plainly(joined) if simple else self.whole([joined])[0], dtype="<u4")
                 if self.drops_space:
                     marks = np.flatnonzero(ids == self.mark)
                     ends = np.append(marks, len(ids)).tolist()
