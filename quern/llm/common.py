@@ -34,12 +34,23 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder. It is removed when the driver's process ends."""
+    """A fresh path in the shared folder. It is removed by clear() or when the driver's process ends."""
     path = f"{scratch_root(spark)}/quern-{label}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
+    if not _made:
+        atexit.register(clear, spark)
+    _made.append(path)
     return path
 
 
+_made: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all scratch of this process. Results that were not written yet may read it, so write them first."""
+    while _made:
+        remove(spark, _made.pop())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a scratch path through Hadoop's file system; a stopped session or a missing path is no error."""
     if spark.sparkContext._jsc is None:
@@ -108,9 +119,9 @@ def without_rows(docs: DataFrame, dropped: DataFrame, expected: int, on: tuple[s
     words = filter_words(expected)
     keys = dropped.select(*on).na.drop()
     whole = " and ".join(f"{c} is not null" for c in on)
-    flagged = maybe_member(docs, F.xxhash64(*on), membership_filter(keys.select(F.xxhash64(*on).alias("h")), words), words, "_maybe")
-    sure = flagged.where(f"not ({whole} and _maybe)").drop("_maybe")
-    rest = flagged.where(f"{whole} and _maybe").drop("_maybe").join(keys.distinct(), list(on), "left_anti")
+    flagged = maybe_member(docs, F.xxhash64(*on), membership_filter(keys.select(F.xxhash64(*on).alias("h")), words), words, "_quern_maybe")
+    sure = flagged.where(f"not ({whole} and _quern_maybe)").drop("_quern_maybe")
+    rest = flagged.where(f"{whole} and _quern_maybe").drop("_quern_maybe").join(keys.distinct(), list(on), "left_anti")
     return sure.select(docs.columns).unionByName(rest.select(docs.columns))
 
 

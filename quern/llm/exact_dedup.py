@@ -55,7 +55,7 @@ def suspected_texts(docs: DataFrame, hits: DataFrame, n_hits: int, digest_bytes:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("text"))
     rows = rows.withColumn("digest", F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, digest_bytes))
     found = common.membership_filter(hits.select(F.xxhash64("digest").alias("h")), words)
-    return common.maybe_member(rows, F.xxhash64("digest"), found, words, "_maybe").where("_maybe").drop("_maybe")
+    return common.maybe_member(rows, F.xxhash64("digest"), found, words, "_quern_maybe").where("_quern_maybe").drop("_quern_maybe")
 
 
 def look_up(runs: DataFrame, merged: DataFrame, total: int, keys: list[str]) -> DataFrame:
@@ -97,14 +97,14 @@ def without_copies(docs: DataFrame) -> DataFrame:
     n_gone = gone.count()
     if not n_gone:
         return docs
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")
-    keyed = docs.withColumns({"_key": key, "_sha": F.sha2(normalised(F.col("text")).cast("binary"), 256)})
-    gone = gone.select(key, F.col("text_sha256").alias("_sha"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"))
-    stays = common.without_rows(keyed, gone.where("not again"), n_gone, ("_key", "_sha"))
-    again = gone.where("again").select("_key", "_sha").distinct()
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_quern_key")
+    keyed = docs.withColumns({"_quern_key": key, "_quern_sha": F.sha2(normalised(F.col("text")).cast("binary"), 256)})
+    gone = gone.select(key, F.col("text_sha256").alias("_quern_sha"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"))
+    stays = common.without_rows(keyed, gone.where("not again"), n_gone, ("_quern_key", "_quern_sha"))
+    again = gone.where("again").select("_quern_key", "_quern_sha").distinct()
     if not again.isEmpty():
         # rows that repeat the staying row itself: one of each is left
-        twice, once = stays.join(again, ["_key", "_sha"], "left_semi"), stays.join(again, ["_key", "_sha"], "left_anti")
-        first = twice.groupBy("_key", "_sha").agg(F.first(F.struct(*docs.columns)).alias("_r")).select("_r.*")
+        twice, once = stays.join(again, ["_quern_key", "_quern_sha"], "left_semi"), stays.join(again, ["_quern_key", "_quern_sha"], "left_anti")
+        first = twice.groupBy("_quern_key", "_quern_sha").agg(F.first(F.struct(*docs.columns)).alias("_r")).select("_r.*")
         return once.select(*docs.columns).unionByName(first)
     return stays.select(*docs.columns)

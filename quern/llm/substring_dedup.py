@@ -126,7 +126,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     total = several.agg(F.sum("n")).first()[0] or 0
     kinds = several.count()
     words = common.filter_words(kinds)
-    maybe = common.maybe_member(found, F.xxhash64("h1", "h2"), common.membership_filter(several.select(F.xxhash64("h1", "h2").alias("h")), words), words, "_maybe").where("_maybe").drop("_maybe")
+    maybe = common.maybe_member(found, F.xxhash64("h1", "h2"), common.membership_filter(several.select(F.xxhash64("h1", "h2").alias("h")), words), words, "_quern_maybe").where("_quern_maybe").drop("_quern_maybe")
     least = max(2, -(-total // HEAVY_SHARE))
     heavy = F.broadcast(several.where(F.col("n") >= least).drop("n"))
     light = several.where(F.col("n") < least).drop("n")
@@ -170,7 +170,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     words = common.filter_words(by_doc.count())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     key = F.xxhash64("doc_id")
-    maybe = common.maybe_member(texts, key, common.membership_filter(by_doc.select(key.alias("h")), words), words, "_maybe").where("_maybe").drop("_maybe")
+    maybe = common.maybe_member(texts, key, common.membership_filter(by_doc.select(key.alias("h")), words), words, "_quern_maybe").where("_quern_maybe").drop("_quern_maybe")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
