@@ -38,7 +38,7 @@ def non_empty(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """The words between runs of white space; an empty array for blank or null text."""
-    return F.filter(F.split(F.coalesce(c, F.lit("")), f"[{SPACES}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(c, F.lit("")), f"[{SPACES}]+"), "")
 
 
 def word_count(c: Column) -> Column:

@@ -21,13 +21,15 @@ def word_windows(df: DataFrame, text: str, width: int = WIDTH, overlap: int = OV
     A text of at most `width` words is one window. A last window may lie wholly within the one before;
     drop_covered_tail leaves those out. Other columns pass through; nothing is shuffled."""
     step = width - overlap
-    w = df.withColumn("_w", T.words(F.col(text))).where(F.size("_w") > 0)
+    w = df.withColumn("_w", T.words(F.col(text)))
     n = F.size("_w")
     last = F.when(n <= width, 0).otherwise((n - overlap - 1 if drop_covered_tail else n - 1)).cast("int")
-    w = w.withColumn("_starts", F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(step)))
-    out = w.select(*[c for c in df.columns if c != text], "_w", F.posexplode("_starts").alias("_no", "word_start"))
-    part = F.slice("_w", F.col("word_start") + 1, width)
-    return out.select(*[c for c in df.columns if c != text], (F.col("_no") + 1).alias("batch_no"), "word_start", F.size(part).alias("n_words"), F.array_join(part, " ").alias(text))
+    starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(step))
+    # windows are cut before they are exploded, so no row carries a whole page's words
+    cut = F.transform(starts, lambda s: F.struct(s.alias("word_start"), F.least(F.lit(width), n - s).alias("n_words"), F.array_join(F.slice("_w", s + 1, width), " ").alias("text")))
+    kept = [c for c in df.columns if c != text]
+    out = w.select(*kept, F.posexplode(F.when(n > 0, cut)).alias("_no", "_win"))
+    return out.select(*kept, (F.col("_no") + 1).alias("batch_no"), "_win.word_start", "_win.n_words", F.col("_win.text").alias(text))
 
 
 def chunk_numbers(df: DataFrame, keys: list[str], order: list[Column], size: int) -> DataFrame:
