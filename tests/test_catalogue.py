@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from oracle import connect, differences
 
@@ -29,6 +31,9 @@ def test_runs(spark, sf_dir, name):
 PYTHON = {"fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation"}
 
 
+OUTSIDE = "EvalPython|MapInPandas|MapInArrow|PythonMapIn|InPandas|InArrow|CartesianProduct|NestedLoop"
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -36,7 +41,13 @@ def plan(df) -> str:
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON))
 def test_stays_in_the_jvm(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
-    assert "Python" not in text and "Pandas" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+    # operators, not words: a message's text may name Python
+    assert not re.search(OUTSIDE, text)
+
+
+@pytest.mark.parametrize("name", sorted(PYTHON))
+def test_the_others_are_told_apart(spark, sf_dir, name):
+    assert re.search(OUTSIDE, plan(QUERIES[name](spark, sf_dir)))
 
 
 def test_scan_reads_only_what_is_needed(spark, sf_dir):
