@@ -292,12 +292,3 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, width: int = SHINGLE_
     hot = prints.join(heavy, "fp")
     cold = prints.join(heavy.select("fp"), "fp", "left_anti").join(named.where(F.col("n") < least).drop("n"), "fp")
     return hot.unionByName(cold).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def without_near_duplicates(docs: DataFrame, budget: int = BUDGET, width: int = SHINGLE_WORDS) -> DataFrame:
-    """docs without the documents that are not their component's smallest id; all columns, whole texts.
-
-    Rows without an id stay. Documents without words share fingerprint zero, so one of them stays."""
-    judged = common.stored(near_duplicates(docs, budget, width), "near")
-    gone = judged.where("doc_id != component_id").select("doc_id").distinct()
-    return common.without_rows(docs, gone, gone.count())
