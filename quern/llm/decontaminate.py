@@ -9,11 +9,17 @@ around the window by exact (semi-global) edit distance.
 Windows start where both sides choose the same words: a word is an anchor if its hash is least in some run of
 ANCHOR_WORDS words. Any such run that a document shares with an item therefore holds an anchor of both, at the same
 place of the passage, and a whole item has several, each with REPEATS keys: a leak is missed only if all of them fail.
+
+An item too short for such windows is cut into one piece more than it may have edits, so that one piece stands unedited
+in any occurrence: every place of a piece is a candidate, none is missed. Short items have to stand at word boundaries:
+a letter or digit that adjoins counts as an edit.
+
 Each document is judged in one task against the broadcast item windows; no text is shuffled and no pair is built.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -36,7 +42,7 @@ SKIPPED_STEPS = 12
 WALK_SHARE = 0.4
 #: Bytes that an item has to hold after an anchor.
 TAIL = 44
-#: Shorter items (normalised bytes) are looked for as exact runs of whole words.
+#: Shorter items (normalised bytes), and items without an anchor that fits, are looked for by pieces.
 SHORT_ITEM = 80
 #: Edits that an item may be away, as a share of its bytes.
 EDIT_SHARE = 0.15
@@ -44,6 +50,11 @@ EDIT_SHARE = 0.15
 ITEM_BYTES_A_PASS = 32 << 20
 TEXTS_AT_ONCE, ANCHORS_AT_ONCE = 256, 1 << 15
 SCHEMA = "doc_id long, item_id long, distance int, item_bytes int, word_start long, words long"
+#: Text bytes that are compared with the pieces of short items together.
+PLACES_AT_ONCE = 1 << 20
+#: ASCII bytes that no word is made of become spaces.
+TO_SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+WORD_BYTE = rb"[0-9a-z\x80-\xff]"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -140,20 +151,74 @@ def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return buffer, places, starts, np.searchsorted(places, starts, side="right") - 1
 
 
+def whole_words(item: bytes) -> re.Pattern[bytes]:
+    """The item where no word goes on beyond either end of it."""
+    before = rb"(?<!" + WORD_BYTE + rb")" if re.match(WORD_BYTE, item[:1]) else b""
+    behind = rb"(?!" + WORD_BYTE + rb")" if re.match(WORD_BYTE, item[-1:]) else b""
+    return re.compile(before + re.escape(item) + behind)
+
+
+class Pieces:
+    """The pieces of short items, by length: one more than the item's edits, 7 bytes at most while EDIT_SHARE is 0.15."""
+
+    def __init__(self, items: list[tuple[int, bytes]]):
+        """items: (number, normalised text)."""
+        by_length: dict[int, list[tuple[int, int, int]]] = {}
+        for k, text in items:
+            parts = int(EDIT_SHARE * len(text)) + 1
+            cuts = [j * len(text) // parts for j in range(parts + 1)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                b = min(b, a + 8)
+                by_length.setdefault(b - a, []).append((int.from_bytes(text[a:b], "little"), k, a))
+        self.tables = {}
+        for length, found in by_length.items():
+            found.sort()
+            values = np.array([x[0] for x in found], dtype=np.uint64)
+            bits = max(16, int(len(values) * 16).bit_length())
+            known = np.zeros(1 << bits, dtype=bool)
+            known[(values * MIX >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.tables[length] = values, np.array([x[1] for x in found], dtype=np.int64), np.array([x[2] for x in found], dtype=np.int64), bits, known
+
+    def candidates(self, buffer: np.ndarray, places: np.ndarray) -> dict[int, dict[int, set[int]]]:
+        """text -> item -> places in the text where the item would begin."""
+        out: dict[int, dict[int, set[int]]] = {}
+        eight = np.ndarray(shape=(max(0, len(buffer) - 7),), dtype="<u8", buffer=buffer, strides=(1,))
+        for length, (values, item, offset, bits, known) in self.tables.items():
+            mask = np.uint64((1 << 8 * length) - 1)
+            for i in range(0, len(eight), PLACES_AT_ONCE):
+                here = eight[i : i + PLACES_AT_ONCE] & mask
+                maybe = np.flatnonzero(known[(here * MIX >> np.uint64(64 - bits)).astype(np.int64)])
+                low = np.searchsorted(values, here[maybe], side="left")
+                times = np.searchsorted(values, here[maybe], side="right") - low
+                at = np.repeat(maybe, times) + i
+                which = np.repeat(low, times) + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                text = np.searchsorted(places, at, side="right") - 1
+                begin = at - places[text] - offset[which]
+                for t, k, b in zip(text.tolist(), item[which].tolist(), begin.tolist(), strict=True):
+                    if t >= 0:
+                        out.setdefault(t, {}).setdefault(k, set()).add(b)
+        return out
+
+
 class Items:
     """A pass's benchmark windows by key."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
         self.items = items
         self.sampler = Sampler()
-        self.short = [(k, b" " + t + b" ") for k, (_, t) in enumerate(items) if 0 < len(t) < SHORT_ITEM]
         long = [k for k, (_, t) in enumerate(items) if len(t) >= SHORT_ITEM]
         buffer, places, starts, text_of = layout([items[k][1] for k in long])
         chosen = anchors(buffer, starts, text_of)
         offset = starts[chosen] - places[text_of[chosen]] if len(chosen) else np.zeros(0, dtype=np.int64)
         sizes = np.array([len(items[k][1]) for k in long], dtype=np.int64)
         fits = sizes[text_of[chosen]] - offset >= TAIL if len(chosen) else np.zeros(0, dtype=bool)
-        chosen, offset = chosen[fits], offset[fits]
+        anchored = {long[i] for i in np.unique(text_of[chosen[fits]]).tolist()}
+        self.short = {k for k, (_, t) in enumerate(items) if t and k not in anchored}
+        self.pieces = Pieces([(k, items[k][1]) for k in sorted(self.short)])
+        self.patterns = {k: whole_words(items[k][1]) for k in self.short if len(items[k][1]) < SHORT_ITEM}
+        # the first word of an item is always among its windows
+        chosen = np.union1d(chosen[fits], np.flatnonzero(np.diff(text_of, prepend=-1)))
+        offset = starts[chosen] - places[text_of[chosen]] if len(chosen) else np.zeros(0, dtype=np.int64)
         self.item = np.array(long, dtype=np.int64)[text_of[chosen]] if len(chosen) else np.zeros(0, dtype=np.int64)
         self.offset = offset
         self.trace, keys = self.sampler.keys(buffer, starts[chosen])
@@ -197,23 +262,33 @@ class Items:
     def leaks(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, distance, start, end) of each item found in a text: its nearest occurrence, the first on ties."""
         found = self.candidates(texts) if len(self.item) else {}
+        if self.short:
+            buffer, places, _, _ = layout(texts)
+            for i, more in self.pieces.candidates(buffer, places).items():
+                for k, begins in more.items():
+                    found.setdefault(i, {}).setdefault(k, set()).update(begins)
         for i, text in enumerate(texts):
-            for k, spaced in self.short:
-                at = (b" " + text + b" ").find(spaced)
-                if at >= 0:
-                    yield i, k, 0, at, at + len(spaced) - 2
-            for k, begins in sorted(found.get(i, {}).items()):
-                item = self.items[k][1]
-                at = text.find(item)
+            here = sorted(found.get(i, {}).items())
+            spaced = b" " + text.translate(TO_SPACES) + b" " if here and self.patterns else b""
+            for k, begins in here:
+                item, pattern = self.items[k][1], self.patterns.get(k)
+                if pattern is None:
+                    at = text.find(item)
+                else:
+                    at = m.start() if (m := pattern.search(text)) else -1
                 if at >= 0:
                     yield i, k, 0, at, at + len(item)
                     continue
                 most, best, done = int(EDIT_SHARE * len(item)), None, []
+                if not most:
+                    continue
                 for begin in sorted(begins):
                     if done and begin - done[-1] <= most // 2:
                         continue
                     done.append(begin)
                     low, high = max(0, begin - 2 * most), min(len(text), begin + len(item) + 2 * most)
+                    if pattern and not edit_distance_within(b" " + item.translate(TO_SPACES) + b" ", spaced[low : high + 2], most):
+                        continue
                     match = edit_distance_within(item, text[low:high], most)
                     if match and (best is None or match[0] < best[0]):
                         best = (match[0], max(0, low + match[1] - len(item)), low + match[1])
@@ -226,8 +301,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, item_bytes_a_pass: int = ITEM_B
 
     An item counts as found if at most EDIT_SHARE of its normalised bytes have to be edited to make it a part of the
     document's normalised text. One row for each document row and item, with the nearest occurrence's first word and
-    number of words. Items that are null, blank or under SHORT_ITEM bytes: the first two are ignored, the rest have to
-    occur exactly. Null and empty texts hold nothing; repeated rows repeat; extra columns are ignored; empty tables give
+    number of words. Null and blank items are ignored; items under SHORT_ITEM bytes have to stand at word boundaries. Null
+    and empty texts hold nothing; repeated rows repeat; extra columns are ignored; empty tables give
     an empty result. The benchmark's size is measured first, and a large one is searched for in several passes."""
     spark = docs.sparkSession
     common.small_text_batches(spark)
