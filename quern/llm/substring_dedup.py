@@ -1,8 +1,11 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences: after . ! or ? before white space, and at line feeds. A sentence of more than LONG_WORDS words
-has further cuts after words that their hash picks, so text without marks is covered too and the cuts are the same
-wherever the passage stands. The span at a sentence is the shortest run from it of at least SPAN_SENTENCES sentences
+A text is cut into sentences: after . ! or ? before white space, and at line feeds. A sentence of more than RUN_WORDS words
+has further cuts after words that their hash picks; where those lie more than RUN_WORDS words apart, also after each word
+whose hash is least in some run of RUN_WORDS words between them, ties included. So no part has more than RUN_WORDS words,
+with or without marks, and beyond the RUN_WORDS words at either end of a passage its cuts are the same wherever it stands:
+51 words hold a whole span. In a text, a span that overlaps the first one equal to it is none, lest a run of one word
+removes its own first occurrence. The span at a sentence is the shortest run from it of at least SPAN_SENTENCES sentences
 and SPAN_WORDS words. Spans are hashed and joined over all documents; the first occurrence of each (least doc_id, then
 place) stays, and sentences that any other occurrence of a span covers are removed.
 
@@ -24,11 +27,14 @@ from quern.llm import common
 
 SPAN_SENTENCES = 2
 SPAN_WORDS = 20
-LONG_WORDS = 16
-#: One in so many words ends a part of a long sentence.
+RUN_WORDS = 8
+#: One in so many words ends a part of a long sentence whatever stands around it.
 CUT_ONE_IN = 8
 SPAN_SCHEMA = "h1 long, h2 long, doc_id long, place int, sentences int"
 BOUNDARY = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|\s*\n\s*")
+WORD = re.compile(r"[^ \t\n\r\f\v]+")
+#: Words whose hashes a worker remembers.
+WORDS_KNOWN = 200_000
 REMOVED_SCHEMA = "doc_id long, sentences int, removed int, first_doc_ids array<long>, text string"
 #: Spans with at least one in so many of all occurrences are joined by broadcast: so many at most.
 HEAVY_SHARE = 2000
@@ -46,28 +52,68 @@ def sentences(text: str) -> list[tuple[int, int]]:
         out.append((at, len(text)))
     parts = []
     for a, b in out:
-        if text.count(" ", a, b) < LONG_WORDS:
-            if not text[a:b].isspace():
-                parts.append((a, b))
-        else:
-            parts += long_sentence(text, a, b)
+        if not text[a:b].isspace():
+            parts += sentence_parts(text, a, b)
     return parts
 
 
-def long_sentence(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """A long sentence cut after words that their content picks."""
+_hashes: dict[str, int] = {}
+
+
+def word_hash(word: str) -> int:
+    """A hash of the word, A-Z lower-cased."""
     from xxhash import xxh32_intdigest
 
-    out, at, here = [], a, a
-    for word in text[a:b].split(" "):
-        here += len(word)
-        if word and xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % CUT_ONE_IN == 0:
-            out.append((at, here))
-            at = min(b, here + 1)
-        here += 1
+    found = _hashes.get(word)
+    if found is None:
+        if len(_hashes) >= WORDS_KNOWN:
+            _hashes.clear()
+        found = _hashes[word] = xxh32_intdigest(word.encode("utf-8", "surrogatepass").lower())
+    return found
+
+
+def least_in_runs(hashes: list[int]) -> list[int]:
+    """The ascending places of hashes that are least in some run of RUN_WORDS of them, ties included; none of fewer."""
+    if len(hashes) < RUN_WORDS:
+        return []
+    least = min(hashes[:RUN_WORDS])
+    out = [k for k in range(RUN_WORDS) if hashes[k] == least]
+    for end in range(RUN_WORDS, len(hashes)):
+        new, first = hashes[end], end - RUN_WORDS + 1
+        if new <= least:
+            least = new
+            out.append(end)
+        elif hashes[first - 1] == least and (now := min(hashes[first : end + 1])) != least:
+            least = now
+            out += [k for k in range(first, end + 1) if hashes[k] == least]
+    return out
+
+
+def cuts(hashes: list[int]) -> list[int]:
+    """The ascending places of the words after which a long sentence is cut."""
+    out, at = [], 0
+    for k in [*[k for k, h in enumerate(hashes) if h % CUT_ONE_IN == 0], len(hashes)]:
+        if k - at >= RUN_WORDS:
+            out += [at + j for j in least_in_runs(hashes[at:k])]
+        if k < len(hashes):
+            out.append(k)
+        at = k + 1
+    return out
+
+
+def sentence_parts(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The sentence, or its parts if it has more than RUN_WORDS words."""
+    words = WORD.findall(text, a, b)
+    if len(words) <= RUN_WORDS:
+        return [(a, b)]
+    places = [m.span() for m in WORD.finditer(text, a, b)]
+    out, at = [], a
+    for k in cuts([word_hash(w) for w in words]):
+        out.append((at, places[k][1]))
+        at = places[k + 1][0] if k + 1 < len(places) else b
     if at < b:
         out.append((at, b))
-    return [(x, y) for x, y in out if not text[x:y].isspace() and x < y]
+    return out
 
 
 def spans(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
@@ -81,6 +127,7 @@ def spans(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, i
     lines = [b" ".join(w) for w in words]
     sizes = [len(w) for w in words]
     out, end, total = [], 0, 0
+    first_ends: dict[bytes, int] = {}
     for i in range(len(parts)):
         while end < len(parts) and (total < SPAN_WORDS or end - i < SPAN_SENTENCES):
             total += sizes[end]
@@ -88,7 +135,9 @@ def spans(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, i
         if total < SPAN_WORDS or end - i < SPAN_SENTENCES:
             break
         digest = xxh3_128_digest(b" ".join(lines[i:end]))
-        out.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), i, end - i))
+        if i >= first_ends.get(digest, i):
+            first_ends.setdefault(digest, end)
+            out.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), i, end - i))
         total -= sizes[i]
     return parts, out
 
