@@ -24,23 +24,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm import common
-from quern.llm.tokens import encoder
+from quern.llm.tokens import encoded, encoder
 
 BLOCK_TOKENS = 1 << 20
 SELECT_EVERY = 64
-#: Texts encoded together.
-TEXTS_AT_ONCE = 128
 BLOCK_SCHEMA = "shard int, block int, task int, first_id long, last_id long, ascending boolean, doc_ids binary, nulls binary, n_docs int, n_tokens long, width int, ids binary, low binary, low_bits int, high binary, select binary"
 ROW_SCHEMA = "shard int, block int, pos int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 TOKEN_SCHEMA = "shard int, block int, pos int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
 
 class EliasFano:
-    """Ascending non-negative integers in near-minimal space, with select (the i-th value)."""
+    """Ascending non-negative integers in near-minimal space, with select (the i-th value). The bits stay packed."""
 
     def __init__(self, low: bytes, low_bits: int, high: bytes, select: bytes, n: int):
         self.low, self.low_bits, self.n = low, low_bits, n
-        self.high = np.unpackbits(np.frombuffer(high, dtype=np.uint8), bitorder="little")
+        self.high = np.frombuffer(high, dtype=np.uint8)
         self.samples = np.frombuffer(select, dtype="<u4")
 
     @staticmethod
@@ -68,20 +66,29 @@ class EliasFano:
         return bits.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
     def select(self, i: int) -> int:
-        """The i-th value: a jump to the sample before it, then a scan of at most SELECT_EVERY ones."""
-        at = int(self.samples[i // SELECT_EVERY])
-        skip, span = i % SELECT_EVERY, 4 * SELECT_EVERY
-        while True:
-            ones = np.flatnonzero(self.high[at : at + span])
-            if len(ones) > skip:
-                return int(((at + int(ones[skip]) - i) << self.low_bits) + self.lows(i, i + 1)[0])
-            span *= 4
+        """The i-th value: a jump to the sample before it, then a scan of the bytes that follow."""
+        return int(self.range(i, i + 1)[0])
+
+    def range(self, i: int, j: int) -> np.ndarray:
+        """Values i to j - 1, from the bytes between the samples around them."""
+        first = int(self.samples[i // SELECT_EVERY])
+        after = -(-j // SELECT_EVERY)
+        last = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[first // 8 : last // 8 + 1], bitorder="little")) + first // 8 * 8
+        skipped = int(np.searchsorted(ones, first)) + i % SELECT_EVERY
+        return ((ones[skipped : skipped + j - i] - np.arange(i, j)) << self.low_bits) + self.lows(i, j)
+
+    def spans(self) -> Iterator[tuple[int, int]]:
+        """(start, end) of each document between the ends coded here, decoded SELECT_EVERY at a time."""
+        at = 0
+        for i in range(0, self.n, SELECT_EVERY):
+            for end in self.range(i, min(self.n, i + SELECT_EVERY)).tolist():
+                yield at, end
+                at = end
 
     def all(self) -> np.ndarray:
         """Every value, in order."""
-        if not self.n:
-            return np.zeros(0, dtype=np.int64)
-        return ((np.flatnonzero(self.high)[: self.n] - np.arange(self.n)) << self.low_bits) + self.lows(0, self.n)
+        return self.range(0, self.n) if self.n else np.zeros(0, dtype=np.int64)
 
 
 def pack_ids(doc_ids: list[int | None]) -> tuple[bytes, bytes]:
@@ -118,7 +125,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None
 
     A table whose partitions already are ascending ranges of ids, as corpora are mostly written, is encoded where it lies:
     its ids are looked at first, and the order of what was written is verified. Any other table is dealt out by ranges
-    of doc_id. Rows of one id stay in one shard, ordered by text. An empty table gives an empty store."""
+    of doc_id. Rows of one id stay in one shard, ordered by text; null ids come first and are kept as nulls; extra columns are
+    ignored. An empty table gives an empty store. One row for each input partition comes to the driver."""
     spark = docs.sparkSession
     common.small_text_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -194,19 +202,17 @@ def _block_writer(tokenizer: str, end_id: int, ranks: dict[int, int] | None):
             row = [shard, block, task, min(named, default=None), max(named, default=None), ascending, packed, nulls, len(ids), int(lengths.sum()), width, body, low, low_bits, high, select]
             return pa.RecordBatch.from_pylist([dict(zip(_names(BLOCK_SCHEMA), row, strict=True))], schema=_arrow(BLOCK_SCHEMA))
 
-        for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), common.strings(batch.column("text"))
-            for i in range(0, len(texts), TEXTS_AT_ONCE):
-                for key, raw in zip(keys[i : i + TEXTS_AT_ONCE], encode.encode(texts[i : i + TEXTS_AT_ONCE]), strict=True):
-                    size = len(raw) // 4 + 1
-                    if held and tokens + size > BLOCK_TOKENS:
-                        yield flush()
-                        ids, held, tokens, block = [], [], 0, block + 1
-                    ascending = ascending and key is not None and (before is None or before < key)
-                    before = key
-                    ids.append(key)
-                    held.append(raw + end)
-                    tokens += size
+        for keys, texts in encoded(batches, encode):
+            for key, raw in zip(keys, texts, strict=True):
+                size = len(raw) // 4 + 1
+                if held and tokens + size > BLOCK_TOKENS:
+                    yield flush()
+                    ids, held, tokens, block = [], [], 0, block + 1
+                ascending = ascending and key is not None and (before is None or before < key)
+                before = key
+                ids.append(key)
+                held.append(raw + end)
+                tokens += size
         if held:
             yield flush()
 
@@ -220,15 +226,14 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                ends = EliasFano(r["low"], r["low_bits"], r["high"], r["select"], r["n_docs"]).all()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            for k in range(batch.num_rows):  # a block at a time, as each holds about a million ids
+                (r,) = batch.slice(k, 1).to_pylist()
+                cuts = list(EliasFano(r["low"], r["low_bits"], r["high"], r["select"], r["n_docs"]).spans())
                 body = np.frombuffer(r["ids"], dtype=f"<u{r['width']}").astype("<u4")
                 raw = memoryview(body.tobytes())
-                cuts = list(zip(starts.tolist(), ends.tolist(), strict=True))
                 last = pa.array([body[a:b].astype(np.int32) for a, b in cuts], pa.list_(pa.int32())) if with_ids else pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in cuts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["shard"]] * len(cuts), pa.int32()), pa.array([r["block"]] * len(cuts), pa.int32()), pa.array(range(len(cuts)), pa.int32()), pa.array(unpack_ids(r["doc_ids"], r["nulls"], r["n_docs"]), pa.int64()), pa.array(starts, pa.int64()), pa.array(ends - starts, pa.int64()), last],
+                    [pa.array([r["shard"]] * len(cuts), pa.int32()), pa.array([r["block"]] * len(cuts), pa.int32()), pa.array(range(len(cuts)), pa.int32()), pa.array(unpack_ids(r["doc_ids"], r["nulls"], r["n_docs"]), pa.int64()), pa.array([a for a, _ in cuts], pa.int64()), pa.array([b - a for a, b in cuts], pa.int64()), last],
                     schema=_arrow(schema),
                 )
 
@@ -239,6 +244,28 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
     return rows.join(starts, ["shard", "block"]).select(*kept, "shard", "block", "pos")
 
 
+def read_document(spark: SparkSession, path: str, number: int) -> list[int] | None:
+    """The ids of the document at place `number` (from 0) of the store, or None beyond its end.
+
+    Counts of documents by block tell its block; that block's select structure alone tells where it begins and ends."""
+    store = spark.read.schema(BLOCK_SCHEMA).parquet(path)
+    shards = store.groupBy("shard").agg(F.sum("n_docs").alias("n")).orderBy("shard").collect()
+    for s in shards:
+        if number < s.n:
+            break
+        number -= s.n
+    else:
+        return None
+    for b in store.where(F.col("shard") == s.shard).select("block", "n_docs").orderBy("block").collect():
+        if number < b.n_docs:
+            r = store.where((F.col("shard") == s.shard) & (F.col("block") == b.block)).select("width", "ids", "low", "low_bits", "high", "select", "n_docs").first()
+            ends = EliasFano(bytes(r["low"]), r["low_bits"], bytes(r["high"]), bytes(r["select"]), r["n_docs"])
+            a, z = ends.select(number - 1) if number else 0, ends.select(number)
+            return np.frombuffer(r["ids"], dtype=f"<u{r['width']}")[a:z].tolist()
+        number -= b.n_docs
+    return None
+
+
 def block_starts(store: DataFrame) -> DataFrame:
     """(shard, block, block_start): running sums in two levels, so that no task sees more rows than a shard has blocks or
     the store has shards. A block holds about a million ids, so the counts are some millionth of the data."""
