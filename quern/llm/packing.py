@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from quern.llm import common
-from quern.llm.tokens import encoder
+from quern.llm.tokens import encoded, encoder
 
 CAPACITY = 4096
 TEXTS_AT_ONCE = 128
 #: Pieces of one length that one task ranks.
-RANKED_TOGETHER = 1_000
+RANKED_TOGETHER = 256
+#: Buckets of one length whose sizes one task sums up; the sums of such parts are few.
+SUMMED_TOGETHER = 10_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -113,11 +115,10 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer, drops_space=True), np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), common.strings(batch.column("text"))
+        for keys, texts in encoded(batches, encode):
             for i in range(0, len(texts), TEXTS_AT_ONCE):
                 rows: list[list] = [[], [], [], [], [], []]
-                for key, raw in zip(keys[i : i + TEXTS_AT_ONCE], encode.encode(texts[i : i + TEXTS_AT_ONCE]), strict=True):
+                for key, raw in zip(keys[i : i + TEXTS_AT_ONCE], texts[i : i + TEXTS_AT_ONCE], strict=True):
                     raw += end
                     for k, a in enumerate(range(0, len(raw), 4 * capacity)):
                         part = raw[a : a + 4 * capacity]
@@ -140,12 +141,16 @@ def pack(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     The rows should be a stored table, as they are read twice. A length that very many pieces share is ranked in
     buckets, so no task holds more than about RANKED_TOGETHER of them. An empty table gives an empty result."""
     counts = {int(r.length): int(r.n) for r in piece_rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    buckets = max([1, *(-(-n // RANKED_TOGETHER) for n in counts.values())])
     places = Places(plan(counts, capacity))
-    rows = piece_rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    sizes = rows.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("length", "_bucket", before.alias("_before"))
+    # a common length is ranked in buckets of its own number; a long list of buckets is summed up in two levels
+    buckets = F.create_map(*[x for n, c in counts.items() if c > RANKED_TOGETHER for x in (F.lit(n), F.lit(-(-c // RANKED_TOGETHER)))], F.lit(-1), F.lit(1))
+    mine = F.coalesce(buckets[F.col("length").cast("int")], F.lit(1))
+    rows = piece_rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), mine.cast("long")))
+    sizes = common.stored(rows.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn("_part", (F.col("_bucket") / SUMMED_TOGETHER).cast("long")), "sizes")
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.groupBy("length", "_part").agg(F.sum("_n").alias("_n")).select("length", "_part", before(Window.partitionBy("length").orderBy("_part")).alias("_earlier"))
+    inside = sizes.select("length", "_part", "_bucket", before(Window.partitionBy("length", "_part").orderBy("_bucket")).alias("_within"))
+    sizes = inside.join(parts, ["length", "_part"]).select("length", "_bucket", (F.col("_earlier") + F.col("_within")).alias("_before"))
     order = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = rows.withColumn("_rank", F.row_number().over(order) - 1).join(sizes, ["length", "_bucket"])
 
@@ -161,7 +166,10 @@ def pack(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Tokenises, cuts and packs docs (doc_id, text). With with_ids each row also carries its ids."""
+    """Tokenises, cuts and packs docs (doc_id, text). With with_ids each row also carries its ids.
+
+    Null text counts as empty: one piece that holds the end id. Null ids stay null; repeated rows give repeated pieces,
+    each with a place of its own; extra columns are ignored; an empty table gives an empty result."""
     return pack(common.stored(pieces(docs, tokenizer, end_id, capacity, with_ids), "pieces"), capacity)
 
 
