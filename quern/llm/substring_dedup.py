@@ -1,234 +1,249 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences: after . ! or ? before white space, and at line feeds. A sentence of more than RUN_WORDS words
-has further cuts after words that their hash picks; where those lie more than RUN_WORDS words apart, also after each word
-whose hash is least in some run of RUN_WORDS words between them, ties included. So no part has more than RUN_WORDS words,
-with or without marks, and beyond the RUN_WORDS words at either end of a passage its cuts are the same wherever it stands:
-51 words hold a whole span. In a text, a span that overlaps the first one equal to it is none, lest a run of one word
-removes its own first occurrence. The span at a sentence is the shortest run from it of at least SPAN_SENTENCES sentences
-and SPAN_WORDS words. Spans are hashed and joined over all documents; the first occurrence of each (least doc_id, then
-place) stays, and sentences that any other occurrence of a span covers are removed.
+Words are what lies between ASCII white space, compared with A-Z lower-cased. A sentence ends after a word that ends in
+. ! or ?, and at line feeds. A sentence of more than RUN_WORDS words is cut further, after each word whose hash is least in
+some run of RUN_WORDS of its words, ties included. So no part has more than RUN_WORDS words, with or without marks, and
+beyond the RUN_WORDS words at either end of a passage its cuts are the same wherever it stands: 51 words hold a whole
+span. The span at a part is the shortest run from it of at least SPAN_PARTS parts and SPAN_WORDS words. In a text, a span
+that overlaps the first one equal to it is none, lest a run of one word removes its own first occurrence. Spans are
+hashed and joined over all documents; the first occurrence of each (least doc_id, then text, then place) stays, and parts
+that any other occurrence of a span covers are removed.
 
 A passage that two documents share, with other text glued to either end, loses at most its cut-off first and last
-sentence to the hashes; all spans inside it are found.
+words to the hashes; all spans inside it are found. A batch of texts is cut and hashed as arrays, without a loop over words:
+hashes are polynomials modulo 2**64 over random values for bytes, then words, taken from prefix sums (two of them, 128 bits).
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import common
 
-SPAN_SENTENCES = 2
+SPAN_PARTS = 2
 SPAN_WORDS = 20
 RUN_WORDS = 8
-#: One in so many words ends a part of a long sentence whatever stands around it.
-CUT_ONE_IN = 8
-SPAN_SCHEMA = "h1 long, h2 long, doc_id long, place int, sentences int"
-BOUNDARY = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|\s*\n\s*")
-WORD = re.compile(r"[^ \t\n\r\f\v]+")
-#: Words whose hashes a worker remembers.
-WORDS_KNOWN = 200_000
+SPAN_SCHEMA = "h1 long, h2 long, id long, digest long, place int, parts int"
 REMOVED_SCHEMA = "doc_id long, sentences int, removed int, first_doc_ids array<long>, text string"
 #: Spans with at least one in so many of all occurrences are joined by broadcast: so many at most.
 HEAVY_SHARE = 2000
-
-
-def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of each sentence, without the white space between them; blank ones are left out."""
-    out = []
-    at = 0
-    for m in BOUNDARY.finditer(text):
-        if m.start() > at:
-            out.append((at, m.start()))
-        at = m.end()
-    if at < len(text):
-        out.append((at, len(text)))
-    parts = []
-    for a, b in out:
-        if not text[a:b].isspace():
-            parts += sentence_parts(text, a, b)
-    return parts
-
-
-_hashes: dict[str, int] = {}
-
-
-def word_hash(word: str) -> int:
-    """A hash of the word, A-Z lower-cased."""
-    from xxhash import xxh32_intdigest
-
-    found = _hashes.get(word)
-    if found is None:
-        if len(_hashes) >= WORDS_KNOWN:
-            _hashes.clear()
-        found = _hashes[word] = xxh32_intdigest(word.encode("utf-8", "surrogatepass").lower())
-    return found
-
-
-def least_in_runs(hashes: list[int]) -> list[int]:
-    """The ascending places of hashes that are least in some run of RUN_WORDS of them, ties included; none of fewer."""
-    if len(hashes) < RUN_WORDS:
-        return []
-    least = min(hashes[:RUN_WORDS])
-    out = [k for k in range(RUN_WORDS) if hashes[k] == least]
-    for end in range(RUN_WORDS, len(hashes)):
-        new, first = hashes[end], end - RUN_WORDS + 1
-        if new <= least:
-            least = new
-            out.append(end)
-        elif hashes[first - 1] == least and (now := min(hashes[first : end + 1])) != least:
-            least = now
-            out += [k for k in range(first, end + 1) if hashes[k] == least]
-    return out
-
-
-def cuts(hashes: list[int]) -> list[int]:
-    """The ascending places of the words after which a long sentence is cut."""
-    out, at = [], 0
-    for k in [*[k for k, h in enumerate(hashes) if h % CUT_ONE_IN == 0], len(hashes)]:
-        if k - at >= RUN_WORDS:
-            out += [at + j for j in least_in_runs(hashes[at:k])]
-        if k < len(hashes):
-            out.append(k)
-        at = k + 1
-    return out
-
-
-def sentence_parts(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """The sentence, or its parts if it has more than RUN_WORDS words."""
-    words = WORD.findall(text, a, b)
-    if len(words) <= RUN_WORDS:
-        return [(a, b)]
-    places = [m.span() for m in WORD.finditer(text, a, b)]
-    out, at = [], a
-    for k in cuts([word_hash(w) for w in words]):
-        out.append((at, places[k][1]))
-        at = places[k + 1][0] if k + 1 < len(places) else b
-    if at < b:
-        out.append((at, b))
-    return out
-
-
-def spans(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
-    """The sentences, and (h1, h2, place, sentences in it) of the span at each sentence that has one.
-
-    Sentences are compared with A-Z lower-cased and white space as single spaces."""
-    from xxhash import xxh3_128_digest
-
-    parts = sentences(text)
-    words = [text[a:b].encode("utf-8", "surrogatepass").lower().split() for a, b in parts]
-    lines = [b" ".join(w) for w in words]
-    sizes = [len(w) for w in words]
-    out, end, total = [], 0, 0
-    first_ends: dict[bytes, int] = {}
-    for i in range(len(parts)):
-        while end < len(parts) and (total < SPAN_WORDS or end - i < SPAN_SENTENCES):
-            total += sizes[end]
-            end += 1
-        if total < SPAN_WORDS or end - i < SPAN_SENTENCES:
-            break
-        digest = xxh3_128_digest(b" ".join(lines[i:end]))
-        if i >= first_ends.get(digest, i):
-            first_ends.setdefault(digest, end)
-            out.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), i, end - i))
-        total -= sizes[i]
-    return parts, out
+#: Bytes of text that are cut together (a longer text alone), and bytes whose words are hashed together.
+BYTES_AT_ONCE, HASHED_AT_ONCE = 4 << 20, 1 << 20
+#: Stands for a missing doc_id; rows without an id come last.
+NO_ID = (1 << 63) - 1
+SPACES = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8))
+ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", dtype=np.uint8))
+LANES = 2
+_random = np.random.default_rng(17)
+BYTE_VALUES = _random.integers(0, 1 << 63, size=(LANES, 256), dtype=np.uint64)
+BYTE_VALUES[:, 65:91] = BYTE_VALUES[:, 97:123]
+#: Odd, so that they have inverses modulo 2**64.
+BYTE_BASES, WORD_BASES = ([int(x) * 8 + 3 for x in _random.integers(0, 1 << 60, size=LANES)] for _ in range(2))
+
+
+@cache
+def _powers(base: int, bits: int) -> np.ndarray:
+    """base**0 to base**(2**bits - 1) modulo 2**64."""
+    return np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full((1 << bits) - 1, base, dtype=np.uint64))])
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """A hash of values[start:end] for each run, the same wherever the run lies."""
+    bits = max(10, int(len(values) + 1).bit_length())
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(values * _powers(base, bits)[: len(values)], dtype=np.uint64)])
+    out = (sums[ends] - sums[starts]) * _powers(pow(base, -1, 1 << 64), bits)[starts]
+    out = (out ^ out >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ out >> np.uint64(29)
+
+
+class Cut:
+    """The words and parts of texts that lie one after the other in data, with spans at the parts."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.offsets = offsets
+        word = ~SPACES[data]
+        before = np.concatenate([[False], word[:-1]]) if len(word) else word
+        after = np.concatenate([word[1:], [False]]) if len(word) else word
+        edges = offsets[offsets < len(data)]
+        before[edges] = False
+        after[edges[edges > 0] - 1] = False
+        self.starts, self.ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+        n = len(self.starts)
+        self.text_of = np.searchsorted(offsets, self.starts, side="right") - 1
+        last = np.ones(n, dtype=bool)
+        if n:
+            lines = np.append(np.flatnonzero(data == 10), len(data))
+            last[:-1] = (self.text_of[1:] != self.text_of[:-1]) | ENDS[data[self.ends[:-1] - 1]] | (lines[np.searchsorted(lines, self.ends[:-1])] < self.starts[1:])
+        self.hashes = self._word_hashes(data)
+        last |= self._cuts(last)
+        #: first and last word of each part, and its text
+        self.final = np.flatnonzero(last)
+        self.first = np.concatenate([[0], self.final[:-1] + 1]).astype(np.int64) if n else self.final
+        self.part_text = self.text_of[self.first]
+        self.first_part = np.searchsorted(self.part_text, np.arange(len(offsets)))
+
+    def _word_hashes(self, data: np.ndarray) -> np.ndarray:
+        out = np.zeros((LANES, len(self.starts)), dtype=np.uint64)
+        i = 0
+        while i < len(self.starts):
+            a = int(self.starts[i])
+            j = max(i + 1, int(np.searchsorted(self.ends, a + HASHED_AT_ONCE, side="right")))
+            part = data[a : int(self.ends[j - 1])]
+            for lane in range(LANES):
+                out[lane, i:j] = run_hashes(BYTE_VALUES[lane][part], self.starts[i:j] - a, self.ends[i:j] - a, BYTE_BASES[lane])
+            i = j
+        return out
+
+    def _cuts(self, last: np.ndarray) -> np.ndarray:
+        """The words of long sentences whose hash is least in some run of RUN_WORDS words of the sentence."""
+        n, h = len(last), self.hashes[0]
+        chosen = np.zeros(n, dtype=bool)
+        runs = n - RUN_WORDS + 1
+        if runs <= 0:
+            return chosen
+        sentence = np.cumsum(last) - last
+        least = h[:runs].copy()
+        for k in range(1, RUN_WORDS):
+            np.minimum(least, h[k : k + runs], out=least)
+        inside = sentence[:runs] == sentence[RUN_WORDS - 1 :]
+        for k in range(RUN_WORDS):
+            chosen[k : k + runs] |= inside & (h[k : k + runs] == least)
+        return chosen & (np.bincount(sentence)[sentence] > RUN_WORDS)
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(h1, h2, text, place, parts) of the span at each part that has one."""
+        n = len(self.final)
+        i = np.arange(n)
+        j = np.maximum(np.searchsorted(self.final, self.first + SPAN_WORDS - 1), i + SPAN_PARTS - 1)
+        has = j < n
+        has[has] = self.part_text[j[has]] == self.part_text[i[has]]
+        i, j = i[has], j[has]
+        h1, h2 = (run_hashes(self.hashes[lane], self.first[i], self.final[j] + 1, WORD_BASES[lane]).view(np.int64) for lane in range(LANES))
+        text = self.part_text[i]
+        if len(i):  # a span that overlaps the text's first equal one is left out
+            order = np.lexsort((i, h1, text))
+            new = np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(text[order]) != 0)])
+            head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            keep = np.ones(len(i), dtype=bool)
+            keep[order] = new | (i[order] > j[order][head])
+            i, j, h1, h2, text = i[keep], j[keep], h1[keep], h2[keep], text[keep]
+        return h1, h2, text, i - self.first_part[text], j - i + 1
+
+
+def cuts(column: pa.Array) -> Iterator[tuple[int, bytes, Cut]]:
+    """(number of the first text, the texts' bytes, their Cut) of an Arrow column of strings, BYTES_AT_ONCE together."""
+    column = column.cast(pa.large_string()).fill_null("")
+    if not len(column):
+        return
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BYTES_AT_ONCE, side="right")) - 1)
+        part = data[offsets[i] : offsets[j]]
+        yield i, part.tobytes(), Cut(part, offsets[i : j + 1] - offsets[i])
+        i = j
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, id, digest): id is NO_ID for none; rows that share id and text are one document."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.withColumns({"id": F.coalesce("doc_id", F.lit(NO_ID)), "digest": F.xxhash64(F.coalesce("text", F.lit("")))})
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
-    """A row for each span of docs (doc_id, text)."""
+    """A row for each span of keyed docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h1, h2, ids, place, size = [], [], [], [], []
-            for key, text in zip(batch.column("doc_id").to_pylist(), common.strings(batch.column("text")), strict=True):
-                _, found = spans(text)
-                if found:
-                    a, b, c, d = zip(*found, strict=True)
-                    h1 += a
-                    h2 += b
-                    place += c
-                    size += d
-                    ids += [key] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ids, pa.int64()), pa.array(place, pa.int32()), pa.array(size, pa.int32())], names=["h1", "h2", "doc_id", "place", "sentences"])
+            ids, digests = (batch.column(c).to_numpy() for c in ("id", "digest"))
+            for k, _, cut in cuts(batch.column("text")):
+                h1, h2, text, place, parts = cut.spans()
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h1, h2, ids[k + text], digests[k + text], place.astype(np.int32), parts.astype(np.int32))], names=[x.split()[0] for x in SPAN_SCHEMA.split(", ")])
 
-    return docs.where("doc_id is not null").mapInArrow(run, SPAN_SCHEMA)
+    return docs.select("id", "digest", "text").mapInArrow(run, SPAN_SCHEMA)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, sentences, first_doc_id): every occurrence of a repeated span but its first.
+def _maybe(df: DataFrame, h: Column, keys: DataFrame, key: Column, n: int) -> DataFrame:
+    words = common.filter_words(n)
+    flagged = common.maybe_member(df, h, common.membership_filter(keys.select(key.alias("h")), words), words, "_quern_maybe")
+    return flagged.where("_quern_maybe").drop("_quern_maybe")
 
-    The first is the one of least (doc_id, place). Occurrences fold together before the shuffle, and the spans behind
-    which many occurrences stand are joined by broadcast, so a passage that very many documents share does no harm."""
-    common.small_text_batches(docs.sparkSession)
-    found = common.stored(all_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "spans")
-    # least (doc_id, place) without a struct, so that aggregation stays in fixed-width buffers
-    ids = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
-    several = common.stored(ids.where("n > 1").select("h1", "h2", "first_doc_id", "n"), "several")
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """(id, digest, place, parts, first_id): every occurrence of a repeated span but its first, of keyed docs.
+
+    Half a hash tells which spans may be repeated; only those meet with their whole hash. Occurrences fold together before
+    a shuffle, and the spans behind which many occurrences stand are joined by broadcast, so a passage that very many
+    documents share does no harm."""
+    found = common.stored(all_spans(docs), "spans")
+    halves = common.stored(found.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "halves")
+    maybe = common.stored(_maybe(found, F.xxhash64("h1"), halves, F.xxhash64("h1"), halves.count()), "maybe")
+    firsts = maybe.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = common.stored(firsts, "several")
     total = several.agg(F.sum("n")).first()[0] or 0
-    kinds = several.count()
-    words = common.filter_words(kinds)
-    maybe = common.maybe_member(found, F.xxhash64("h1", "h2"), common.membership_filter(several.select(F.xxhash64("h1", "h2").alias("h")), words), words, "_quern_maybe").where("_quern_maybe").drop("_quern_maybe")
     least = max(2, -(-total // HEAVY_SHARE))
     heavy = F.broadcast(several.where(F.col("n") >= least).drop("n"))
     light = several.where(F.col("n") < least).drop("n")
-    hits = maybe.join(heavy, ["h1", "h2"]).unionByName(maybe.join(light, ["h1", "h2"]))
-    hits = common.stored(hits, "hits")
-    # within the first document only the first place is the first occurrence
-    own = hits.where("doc_id = first_doc_id").groupBy("h1", "h2", "doc_id").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n"))
-    again = hits.where("doc_id = first_doc_id").join(own.where("n > 1").drop("n"), ["h1", "h2", "doc_id"]).where("place > first_place")
-    columns = ["doc_id", "place", "sentences", "first_doc_id"]
-    return hits.where("doc_id != first_doc_id").select(*columns).unionByName(again.select(*columns))
-
-
-def without_spans(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """(text without the covered sentences, sentences before, sentences removed). The rest keeps its own white space."""
-    parts = sentences(text)
-    gone = np.zeros(len(parts) + 1, dtype=np.int64)
-    for place, size in covered:
-        gone[place] += 1
-        gone[min(place + size, len(parts))] -= 1
-    gone = np.cumsum(gone)[:-1] > 0
-    kept, at = [], 0
-    for k, (a, b) in enumerate(parts):
-        if gone[k]:
-            kept.append(text[at:a])
-            at = b
-    kept.append(text[at:])
-    return "".join(kept), len(parts), int(gone.sum())
+    hits = common.stored(maybe.join(heavy, ["h1", "h2"]).unionByName(maybe.join(light, ["h1", "h2"])), "hits")
+    # within the first document's rows only the first text and place is the first occurrence
+    own = hits.where("id = first_id")
+    again = own.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    own = common.stored(own.join(again, ["h1", "h2"]), "own")
+    first = own.groupBy("h1", "h2").agg(F.min(F.struct("digest", "place")).alias("first"))
+    later = own.join(first, ["h1", "h2"]).where(F.struct("digest", "place") != F.col("first"))
+    columns = ["id", "digest", "place", "parts", "first_id"]
+    return hits.where("id != first_id").select(*columns).unionByName(later.select(*columns))
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
-    """The documents that lose sentences: doc_id, sentences, removed, first_doc_ids (where the removed spans stand first,
-    ascending) and the text that is left. Documents that are not returned stay as they are.
-
-    docs needs doc_id and text. Null and empty texts have no spans; rows without an id are not compared; rows that share
-    an id count as one document, so a repeated row loses nothing to itself; extra columns are ignored. Texts are whole,
-    and no text is shuffled but of documents that may have a repeated span."""
+    """The documents that lose parts: doc_id, sentences (parts), removed, first_doc_ids (ids where the removed spans stand
+    first, ascending) and the text that is left. Documents that are not returned stay as they are.
+
+    docs needs doc_id and text. Null, empty and blank texts have no spans. Rows without an id are compared and come last in
+    order; as first occurrences they have no id to name. Rows that share an id but not their text are documents of their
+    own; rows that share both are one, so a repeated row loses nothing to itself and each of its rows is returned. Extra
+    columns are ignored; an empty table gives an empty result. Texts are whole, and no text is shuffled but of documents
+    that may have a repeated span."""
     common.small_text_batches(docs.sparkSession)
+    docs = keyed(docs)
     found = common.stored(repeats(docs), "repeats")
-    # a document's removals are bounded by its own sentences
-    by_doc = common.stored(found.groupBy("doc_id").agg(F.collect_set(F.struct("place", "sentences")).alias("covered"), F.sort_array(F.collect_set("first_doc_id")).alias("first_doc_ids")), "removals")
-    words = common.filter_words(by_doc.count())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    key = F.xxhash64("doc_id")
-    maybe = common.maybe_member(texts, key, common.membership_filter(by_doc.select(key.alias("h")), words), words, "_quern_maybe").where("_quern_maybe").drop("_quern_maybe")
+    # a document's removals are bounded by its own parts
+    named = F.sort_array(F.collect_set(F.when(F.col("first_id") != NO_ID, F.col("first_id"))))
+    by_doc = common.stored(found.groupBy("id", "digest").agg(F.collect_set(F.struct("place", "parts")).alias("covered"), named.alias("first_doc_ids")), "removals")
+    key = F.xxhash64("id", "digest")
+    maybe = _maybe(docs, key, by_doc, key, by_doc.count())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key, text, covered, firsts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "covered", "first_doc_ids")), strict=True):
-                left, n, gone = without_spans(text or "", [(c["place"], c["sentences"]) for c in covered])
-                rows.append((key, n, gone, firsts, left))
-            if rows:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in REMOVED_SCHEMA.split(", ")])
-
-    return maybe.join(by_doc, "doc_id").select("doc_id", "text", "covered", "first_doc_ids").mapInArrow(cut, REMOVED_SCHEMA)
+            covered = batch.column("covered")
+            rows = np.repeat(np.arange(batch.num_rows), covered.value_lengths().to_numpy())
+            place, size = (covered.flatten().field(c).to_numpy().astype(np.int64) for c in ("place", "parts"))
+            for k, raw, parts in cuts(batch.column("text")):
+                m = len(parts.offsets) - 1
+                mine = (rows >= k) & (rows < k + m)
+                begin = parts.first_part[rows[mine] - k] + place[mine]
+                steps = np.bincount(begin, minlength=len(parts.final) + 1) - np.bincount(begin + size[mine], minlength=len(parts.final) + 1)
+                gone = np.cumsum(steps)[:-1] > 0
+                left, totals, removed = [], np.diff(parts.first_part), []
+                for t in range(m):
+                    kept, at, n = [], int(parts.offsets[t]), 0
+                    for p in np.flatnonzero(gone[parts.first_part[t] : parts.first_part[t + 1]]) + parts.first_part[t]:
+                        kept.append(raw[at : parts.starts[parts.first[p]]])
+                        at = int(parts.ends[parts.final[p]])
+                        n += 1
+                    kept.append(raw[at : parts.offsets[t + 1]])
+                    left.append(b"".join(kept).decode("utf-8", "surrogatepass"))
+                    removed.append(n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(k, m), pa.array(totals, pa.int32()), pa.array(removed, pa.int32()), batch.column("first_doc_ids").slice(k, m).cast(pa.list_(pa.int64())), pa.array(left, pa.string())],
+                    names=[x.split()[0] for x in REMOVED_SCHEMA.split(", ")],
+                )
+
+    return maybe.join(by_doc, ["id", "digest"]).select("doc_id", "text", "covered", "first_doc_ids").mapInArrow(cut, REMOVED_SCHEMA)

@@ -12,12 +12,20 @@ def left(spark, texts):
     return {r.doc_id: r.text for r in out.collect()}
 
 
-def test_least_in_runs():
+def test_parts_equal_plain_ones(spark):
+    import pyarrow as pa
+    from test_operators import plain_parts
+
     rng = random.Random(1)
-    for _ in range(500):
-        h = [rng.randint(0, 6) for _ in range(rng.randint(0, 40))]
-        runs = [range(i, i + substring_dedup.RUN_WORDS) for i in range(len(h) - substring_dedup.RUN_WORDS + 1)]
-        assert substring_dedup.least_in_runs(h) == sorted({k for r in runs for k in r if h[k] == min(h[j] for j in r)})
+    texts = ["", None, " \n ", "One. Two! three\n\nfour", "x" * 3000, "é ñ. Ü\u00a0b?"]
+    texts += [" ".join(rng.choice(["a", "B.", "cc", "dd!", "e\nf", "g"]) * rng.randint(1, 2) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    for first, raw, cut in substring_dedup.cuts(pa.array(texts)):
+        for t in range(len(cut.offsets) - 1):
+            span = range(cut.first_part[t], cut.first_part[t + 1])
+            at = int(cut.offsets[t])
+            mine = [(raw[at : cut.starts[cut.first[p]]].decode(), raw[at : cut.ends[cut.final[p]]].decode()) for p in span]
+            text = texts[first + t] or ""
+            assert mine == [(text[:a], text[:b]) for a, b, _ in plain_parts(text)]
 
 
 def test_every_passage_of_51_words_loses_its_middle(spark):
