@@ -17,7 +17,6 @@ hashes are polynomials modulo 2**64 over random values for bytes, then words, ta
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import common
+from quern.llm.wordruns import LANES, WORD_BASES, Words, run_hashes, slices
 
 SPAN_PARTS = 2
 SPAN_WORDS = 20
@@ -33,54 +33,20 @@ SPAN_SCHEMA = "h1 long, h2 long, id long, digest long, place int, parts int"
 REMOVED_SCHEMA = "doc_id long, sentences int, removed int, first_doc_ids array<long>, text string"
 #: Spans with at least one in so many of all occurrences are joined by broadcast: so many at most.
 HEAVY_SHARE = 2000
-#: Bytes of text that are cut together (a longer text alone), and bytes whose words are hashed together.
-BYTES_AT_ONCE, HASHED_AT_ONCE = 4 << 20, 1 << 20
 #: Stands for a missing doc_id; rows without an id come last.
 NO_ID = (1 << 63) - 1
-SPACES = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8))
 ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", dtype=np.uint8))
-LANES = 2
-_random = np.random.default_rng(17)
-BYTE_VALUES = _random.integers(0, 1 << 63, size=(LANES, 256), dtype=np.uint64)
-BYTE_VALUES[:, 65:91] = BYTE_VALUES[:, 97:123]
-#: Odd, so that they have inverses modulo 2**64.
-BYTE_BASES, WORD_BASES = ([int(x) * 8 + 3 for x in _random.integers(0, 1 << 60, size=LANES)] for _ in range(2))
 
-
-@cache
-def _powers(base: int, bits: int) -> np.ndarray:
-    """base**0 to base**(2**bits - 1) modulo 2**64."""
-    return np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full((1 << bits) - 1, base, dtype=np.uint64))])
-
-
-def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A hash of values[start:end] for each run, the same wherever the run lies."""
-    bits = max(10, int(len(values) + 1).bit_length())
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(values * _powers(base, bits)[: len(values)], dtype=np.uint64)])
-    out = (sums[ends] - sums[starts]) * _powers(pow(base, -1, 1 << 64), bits)[starts]
-    out = (out ^ out >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
-    return out ^ out >> np.uint64(29)
-
-
-class Cut:
+class Cut(Words):
     """The words and parts of texts that lie one after the other in data, with spans at the parts."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.offsets = offsets
-        word = ~SPACES[data]
-        before = np.concatenate([[False], word[:-1]]) if len(word) else word
-        after = np.concatenate([word[1:], [False]]) if len(word) else word
-        edges = offsets[offsets < len(data)]
-        before[edges] = False
-        after[edges[edges > 0] - 1] = False
-        self.starts, self.ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+        super().__init__(data, offsets)
         n = len(self.starts)
-        self.text_of = np.searchsorted(offsets, self.starts, side="right") - 1
         last = np.ones(n, dtype=bool)
         if n:
             lines = np.append(np.flatnonzero(data == 10), len(data))
             last[:-1] = (self.text_of[1:] != self.text_of[:-1]) | ENDS[data[self.ends[:-1] - 1]] | (lines[np.searchsorted(lines, self.ends[:-1])] < self.starts[1:])
-        self.hashes = self._word_hashes(data)
         last |= self._cuts(last)
         #: first and last word of each part, and its text
         self.final = np.flatnonzero(last)
@@ -88,18 +54,6 @@ class Cut:
         self.part_text = self.text_of[self.first]
         self.first_part = np.searchsorted(self.part_text, np.arange(len(offsets)))
 
-    def _word_hashes(self, data: np.ndarray) -> np.ndarray:
-        out = np.zeros((LANES, len(self.starts)), dtype=np.uint64)
-        i = 0
-        while i < len(self.starts):
-            a = int(self.starts[i])
-            j = max(i + 1, int(np.searchsorted(self.ends, a + HASHED_AT_ONCE, side="right")))
-            part = data[a : int(self.ends[j - 1])]
-            for lane in range(LANES):
-                out[lane, i:j] = run_hashes(BYTE_VALUES[lane][part], self.starts[i:j] - a, self.ends[i:j] - a, BYTE_BASES[lane])
-            i = j
-        return out
-
     def _cuts(self, last: np.ndarray) -> np.ndarray:
         """The words of long sentences whose hash is least in some run of RUN_WORDS words of the sentence."""
         n, h = len(last), self.hashes[0]
@@ -137,18 +91,9 @@ class Cut:
 
 
 def cuts(column: pa.Array) -> Iterator[tuple[int, bytes, Cut]]:
-    """(number of the first text, the texts' bytes, their Cut) of an Arrow column of strings, BYTES_AT_ONCE together."""
-    column = column.cast(pa.large_string()).fill_null("")
-    if not len(column):
-        return
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
-    i = 0
-    while i < len(column):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + BYTES_AT_ONCE, side="right")) - 1)
-        part = data[offsets[i] : offsets[j]]
-        yield i, part.tobytes(), Cut(part, offsets[i : j + 1] - offsets[i])
-        i = j
+    """(number of the first text, the texts' bytes, their Cut) of the slices of an Arrow column of strings."""
+    for first, data, offsets in slices(column):
+        yield first, data.tobytes(), Cut(data, offsets)
 
 
 def keyed(docs: DataFrame) -> DataFrame:

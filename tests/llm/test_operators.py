@@ -15,7 +15,7 @@ from fixtures import empty, odd, odd_rows
 from oracle import connect, differences
 from pyspark.sql import functions as F
 
-from quern.llm import common, decontaminate, exact_dedup, langid, packing, pii, ppm, queries, simhash, substring_dedup, token_store, url_filter
+from quern.llm import common, decontaminate, exact_dedup, langid, packing, pii, ppm, queries, simhash, substring_dedup, token_store, url_filter, wordruns
 
 A_TO_Z = re.compile("[A-Z]")
 
@@ -203,8 +203,8 @@ def plain_hash(word):
     """The first lane's polynomial, byte by byte."""
     out, power = 0, 1
     for c in word.encode().lower():
-        out = (out + int(substring_dedup.BYTE_VALUES[0][c]) * power) & M64
-        power = power * substring_dedup.BYTE_BASES[0] & M64
+        out = (out + int(wordruns.BYTE_VALUES[0][c]) * power) & M64
+        power = power * wordruns.BYTE_BASES[0] & M64
     out = (out ^ out >> 32) * 0x9E3779B97F4A7C15 & M64
     return out ^ out >> 29
 
@@ -407,13 +407,17 @@ def test_plan_uses_up_any_counts():
 # 8: language model
 
 
-def plain_ppm(training, text, order=2):
+def plain_trie(training, order=ppm.ORDER):
     contexts = defaultdict(Counter)
     for t in training:
         b = b"\0" * order + t + b"\0"
         for i in range(order, len(b)):
             for k in range(order + 1):
                 contexts[b[i - k : i]][b[i]] += 1
+    return contexts
+
+
+def plain_ppm(contexts, text, order=ppm.ORDER):
     b, total = b"\0" * order + text + b"\0", 0.0
     for i in range(order, len(b)):
         p, excluded = 1.0, set()
@@ -432,22 +436,22 @@ def plain_ppm(training, text, order=2):
     return total
 
 
-@pytest.mark.parametrize("chunk_bytes", [1 << 20, 4000])
-def test_scores_equal_brute_force(spark, sf_dir, chunk_bytes):
+@pytest.mark.parametrize("hot", [ppm.HOT, 500, 0])
+def test_scores_equal_brute_force(spark, sf_dir, hot):
     df = documents(spark, sf_dir)
     table = [(r.doc_id, r.text) for r in df.collect()]
     training = [low(t).encode() for i, t in table if common.id_remainder_local(i, 7) != 2]
     counts = Counter(w for t in training for w in [*t.split(), None])
     n, v = sum(counts.values()), len(counts)
-    out = {r["doc_id"]: r for r in rows(ppm.score(df, chunk_bytes=chunk_bytes))}
+    trie = plain_trie(training)
+    out = {r["doc_id"]: r for r in rows(ppm.score(df, hot=hot))}
     assert len(out) == len(table)
     for k, (i, text) in enumerate(table):
         words = [*re.findall(rb"[^\x20\x09-\x0D]+", low(text).encode()), None]
         r = out[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(words), sum(counts[w] > 0 for w in words), n, zlib.crc32(str(i).encode()) % 7 == 2)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words))
-        if k < 5 and len(text) < 3000:
-            assert r["score"] == pytest.approx(plain_ppm(training, low(text).encode()), rel=1e-6)
+        assert r["score"] == pytest.approx(plain_ppm(trie, low(text).encode()), rel=1e-9)
 
 
 def test_scores_on_odd_rows(spark):
@@ -459,9 +463,14 @@ def test_scores_on_odd_rows(spark):
 
 
 def test_code_lengths_are_a_distribution():
-    codes, _ = ppm.leaf_codes([b"the cat sat on the mat", b"", b"\xff\x00"])
-    code, n = np.unique(codes, return_counts=True)
-    assert np.abs((10.0 ** ppm.Table(code.astype(np.int64), n).logs.astype(float)).reshape(-1, 256).sum(axis=1) - 1).max() < 1e-5
+    texts = [b"the cat sat on the mat", b"", b"\xff\x00"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    grams, n = ppm.folded(ppm.gram_codes(data, offsets)[0])
+    low_ = ppm.folded(grams >> 32 << 8 | grams & 255, n)
+    model = ppm.orders(grams, n, low_)
+    for context in [*np.unique(grams >> 8), 12345, ord("t") << 32]:
+        p = ppm.log10_probabilities(model, (int(context) << 8) + np.arange(256))
+        assert (10**p).sum() == pytest.approx(1)
 
 
 # 9: simhash
