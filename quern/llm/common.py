@@ -7,8 +7,9 @@ import os
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one of our own only where that setting is missing."""
+    """The shared folder of spark.checkpoint.dir. Where that setting is missing, a temporary folder of our own on a local
+    master; on a cluster every machine would see another one, so that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = f"file://{tempfile.mkdtemp(prefix='quern-scratch-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -75,6 +79,19 @@ def small_text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_ROWS_PER_BATCH))
 
 
+def text_flags(judge: Callable[[], Callable[[list[str | None]], list[bool]]], text: Column) -> Column:
+    """A boolean for each text. judge() makes a worker's function of a batch's texts. Only the texts go to Python; the rows
+    stay in the JVM."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        found = judge()
+        for batch in batches:
+            yield pa.array(found(batch.to_pylist()), pa.bool_())
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "boolean")(text)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

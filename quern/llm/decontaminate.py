@@ -21,10 +21,11 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -304,31 +305,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, item_bytes_a_pass: int = ITEM_B
     number of words. Null and blank items are ignored; items under SHORT_ITEM bytes have to stand at word boundaries. Null
     and empty texts hold nothing; repeated rows repeat; extra columns are ignored; empty tables give
     an empty result. The benchmark's size is measured first, and a large one is searched for in several passes."""
-    spark = docs.sparkSession
-    common.small_text_batches(spark)
+    common.small_text_batches(docs.sparkSession)
+    out = None
+    for items in _passes(benchmark, item_bytes_a_pass):
+        found = _one_pass(docs, items)
+        out = found if out is None else out.unionByName(found)
+    return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
+
+
+def _passes(benchmark: DataFrame, item_bytes_a_pass: int) -> Iterator[list[tuple[int, bytes]]]:
+    """(item_id, normalised text) of the items of each pass, whose size is measured before they are fetched."""
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = -(-size // item_bytes_a_pass)
-    out = None
     for k in range(passes):
         part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
-        found = _one_pass(docs, [(r.item_id, normalised(r.text)) for r in part])
-        out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], SCHEMA) if out is None else out
+        yield [(r.item_id, normalised(r.text)) for r in part]
 
 
 _built: dict[str, Items] = {}
 
 
+def _index(number: str, sent: Broadcast) -> Items:
+    """The worker's index of a pass."""
+    if number not in _built:
+        _built.clear()
+        _built[number] = Items(sent.value)
+    return _built[number]
+
+
 def _one_pass(docs: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(items)
     number = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _built.get(number)
-        if index is None:
-            _built.clear()
-            index = _built[number] = Items(sent.value)
+        index = _index(number, sent)
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), [normalised(t) for t in common.strings(batch.column("text"))]
             for i in range(0, len(texts), TEXTS_AT_ONCE):
@@ -341,7 +352,29 @@ def _one_pass(docs: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that hold a benchmark item; all columns, whole texts."""
-    found = common.stored(leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return common.without_rows(docs, found, found.count())
+def without_leaks(docs: DataFrame, benchmark: DataFrame, item_bytes_a_pass: int = ITEM_BYTES_A_PASS) -> DataFrame:
+    """docs without the documents that hold a benchmark item; all columns, whole texts. Each row is judged by its own text,
+    so rows that share an id, or have none, are told apart; equal rows share a fate. No row is shuffled."""
+    common.small_text_batches(docs.sparkSession)
+    for items in _passes(benchmark, item_bytes_a_pass):
+        docs = docs.where(common.text_flags(_clean(docs, items), F.col("text")))
+    return docs
+
+
+def _clean(docs: DataFrame, items: list[tuple[int, bytes]]) -> Callable[[], Callable[[list[str | None]], list[bool]]]:
+    sent = docs.sparkSession.sparkContext.broadcast(items)
+    number = uuid.uuid4().hex
+
+    def judge() -> Callable[[list[str | None]], list[bool]]:
+        index = _index(number, sent)
+
+        def clean(texts: list[str | None]) -> list[bool]:
+            out = [True] * len(texts)
+            for i in range(0, len(texts), TEXTS_AT_ONCE):
+                for d, *_ in index.leaks([normalised(t or "") for t in texts[i : i + TEXTS_AT_ONCE]]):
+                    out[i + d] = False
+            return out
+
+        return clean
+
+    return judge

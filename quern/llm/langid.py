@@ -9,7 +9,7 @@ blur the margin. The margin, (second best - best) / second best, is the score; u
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 
 from quern.llm import common
 
-#: Labelled documents of each language that the dictionaries are made of, chosen by a hash of their id: the sample's bound.
+#: Labelled documents of each language that may be drawn, by a hash of their id, and what a dictionary holds of them: the
+#: sample's bounds. Whole texts are drawn until it is full; the last one fills what room there is.
 SAMPLE_DOCS = 400
 DICTIONARY_BYTES = 128 << 10
-#: The most that one document adds to a dictionary. It bounds training only; predictions use whole texts.
-DOCUMENT_BYTES = 4 << 10
 PIECE_BYTES = 2 << 10
 LEVEL = 7
 MIN_MARGIN = 0.01
@@ -53,11 +52,20 @@ def fit(labelled: DataFrame) -> dict[str, bytes]:
     ids = rows.select("doc_id", "lang").where(place < share[F.col("lang")]).distinct()
     order = Window.partitionBy("lang").orderBy(place, "doc_id")
     chosen = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
-    texts = rows.select("doc_id", "lang", F.substring("text", 1, DOCUMENT_BYTES).alias("text")).join(F.broadcast(chosen.drop("rank")), ["doc_id", "lang"])
-    by: dict[str, list[str]] = {}
-    for r in texts.orderBy(place, "doc_id", "text").collect():
-        by.setdefault(r.lang, []).append(r.text)
-    return {lang: b" ".join(prepared(t) for t in by[lang])[-DICTIONARY_BYTES:] for lang in sorted(by, key=lambda x: (-rows_of[x], x))}
+    texts = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    sizes = texts.select("doc_id", "lang", "rank", F.octet_length("text").alias("size")).groupBy("lang", "rank").agg(F.sum("size").alias("size")).collect()
+    full: dict[str, int] = {}
+    last: dict[str, int] = {}
+    for r in sorted(sizes, key=lambda r: r["rank"]):
+        if full.get(r.lang, 0) < DICTIONARY_BYTES:
+            full[r.lang] = full.get(r.lang, 0) + r.size
+            last[r.lang] = r["rank"]
+    drawn = F.create_map(*[x for lang, rank in last.items() for x in (F.lit(lang), F.lit(rank))])
+    by: dict[str, bytes] = {}
+    # a text gives no more than a whole dictionary, so a very long one does not swamp the driver
+    for r in texts.where(F.col("rank") <= drawn[F.col("lang")]).withColumn("text", F.substring("text", 1, DICTIONARY_BYTES)).orderBy("rank", "text").collect():
+        by[r.lang] = (by.get(r.lang, b"") + prepared(r.text) + b" ")[:DICTIONARY_BYTES]
+    return {lang: by[lang] for lang in sorted(by, key=lambda x: (-rows_of[x], x))}
 
 
 class Compressors:
@@ -107,13 +115,13 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
 
 
 def without_rejected(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
-    """docs whose language is told with a sufficient margin; all columns, in one pass and without a shuffle."""
+    """docs whose language is told with a sufficient margin; all columns, in one pass and without a shuffle. Rows are judged
+    by their text alone: those of null, empty or letterless texts go, whatever their ids; equal rows share a fate."""
     common.small_text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Compressors(sent.value).judge
-        for batch in batches:
-            yield batch.filter(pa.array([not judge(t)[2] for t in batch.column("text").to_pylist()], pa.bool_()))
+    def judge() -> Callable[[list[str | None]], list[bool]]:
+        told = Compressors(sent.value).judge
+        return lambda texts: [not told(t)[2] for t in texts]
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(common.text_flags(judge, F.col("text")))

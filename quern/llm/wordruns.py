@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are handled together (a longer text alone), and bytes whose words are hashed together.
-BYTES_AT_ONCE, HASHED_AT_ONCE = 4 << 20, 1 << 20
+BYTES_AT_ONCE, HASHED_AT_ONCE = 1 << 20, 1 << 20
 SPACES = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8))
 LANES = 2
 _random = np.random.default_rng(17)
