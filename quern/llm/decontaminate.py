@@ -47,8 +47,9 @@ TAIL = 44
 SHORT_ITEM = 80
 #: Edits that an item may be away, as a share of its bytes.
 EDIT_SHARE = 0.15
-#: Bytes of items that one pass over the documents carries; a larger benchmark takes several passes.
-ITEM_BYTES_A_PASS = 32 << 20
+#: Bytes of items that one pass over the documents carries; a larger benchmark takes several passes. The index takes some
+#: 70 times as much in each Python worker, so about 140 MB.
+ITEM_BYTES_A_PASS = 2 << 20
 TEXTS_AT_ONCE, ANCHORS_AT_ONCE = 256, 1 << 15
 SCHEMA = "doc_id long, item_id long, distance int, item_bytes int, word_start long, words long"
 #: Text bytes that are compared with the pieces of short items together.
