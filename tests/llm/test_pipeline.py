@@ -6,7 +6,8 @@ from collections import Counter
 
 import corpus_pipeline
 from fixtures import empty, odd
-from test_operators import low, plain_components, plain_fingerprint
+from test_near_copies import plain_kept
+from test_operators import low
 
 from quern.llm import common, decontaminate
 
@@ -24,8 +25,7 @@ def test_stages_filter_and_pack(spark, sf_dir):
         kept[name] = {r.doc_id: r.text for r in docs.collect()}
     largest = {low(t): i for i, t in sorted(kept["language"].items())}
     assert kept["exact"] == {i: kept["language"][i] for i in largest.values()}
-    components = plain_components([(i, plain_fingerprint(t)) for i, t in sorted(kept["exact"].items())])
-    assert set(kept["near"]) == set(components.values())
+    assert set(kept["near"]) == plain_kept(kept["exact"].items())
     items = [decontaminate.normalised(r.text) for r in common.table(spark, sf_dir, "benchmark").collect()]
     clean = {i for i, t in kept["near"].items() if not any(x in decontaminate.normalised(t) for x in items)}
     assert set(kept["decontaminate"]) == clean
