@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that carries whole texts; bounds a Python worker's memory on tables of long documents.
 TEXT_ROWS_PER_BATCH = 512
+#: Row groups of scratch tables: what a writing task holds in memory.
+ROW_GROUP_BYTES = str(32 << 20)
 #: Upper-case ASCII letters and their lower-case forms: the only case folding the contracts ask for.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of 64 bits in the largest membership filter that is broadcast: 2**20 words are about 40 MB as rows.
@@ -68,7 +70,7 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.options(**options).parquet(path)
+    df.write.options(**{"parquet.block.size": ROW_GROUP_BYTES, **options}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

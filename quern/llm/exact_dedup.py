@@ -1,13 +1,17 @@
 """Exact deduplication as a log-structured merge index, in DataFrame operations only.
 
-* Flush: each task's memtable becomes a run, a file of (digest, identifier) sorted by digest, with a Parquet Bloom filter
-  on the digest. Runs hold ids and digests; no text is shuffled for them.
-* Compaction merges the runs and keeps the smallest identifier of each digest. The contract wants the largest doc_id to
-  stay, so identifiers count downwards from it (the complement of doc_id, then of the row's number).
+* Flush: each task's memtable becomes a run, a file of (digest, identifier) sorted by digest. Runs hold ids and digests;
+  no text is shuffled for them.
+* Compaction merges the fresh runs into a level and keeps the smallest identifier of each digest: runs are dealt by digest
+  ranges and a range's rows come in order, so equal digests stand together. A level is stored in that order with a membership
+  filter of its digests. Once there are more than FANOUT levels, they are merged into one, whose ranges need no sort of
+  their own. The contract wants the largest doc_id to stay, so identifiers count downwards from it (the complement of
+  doc_id, then of the flush and the row's number).
+* Look-up: a later flush passes the filters of the levels before it; only digests that may be there are joined with them.
 * Byte verification: rows whose digest is a hit, found by a broadcast membership filter of bounded size, are grouped by
   digest and whole text. Copies fold together before the shuffle, so a hot text costs one row for each task. Digests
   that cover more than one text are resolved by text.
-* Look-up: digests that hold at least a thousandth of the rows (a thousand at most) are broadcast, the rest joined.
+* Digests that hold at least a thousandth of the rows (a thousand at most) are broadcast to the rows, the rest joined.
 
 Defined cases: null text counts as empty, and empty texts are equal to each other. A null doc_id stays only where all ids of
 the group are null. Of rows that share the staying doc_id and text, one is kept. Extra columns are ignored. An empty
@@ -24,6 +28,8 @@ from quern.llm import common
 #: A digest with at least one in so many rows is looked up by broadcast: so many digests at most.
 HEAVY_SHARE = 1000
 DIGEST_BYTES = 32
+#: Levels beyond which all are merged into one.
+FANOUT = 4
 
 
 def normalised(text: Column) -> Column:
@@ -35,18 +41,100 @@ def identifier() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), F.bitwise_not("doc_id").alias("not_id"), F.col("row").alias("row"))
 
 
-def flush(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
-    """The stored runs: (digest, sha, doc_id, row), each file sorted by digest. digest is the first digest_bytes of sha."""
+def flush(docs: DataFrame, digest_bytes: int = DIGEST_BYTES, number: int = 0) -> DataFrame:
+    """The stored runs: (digest, sha, doc_id, row), each file sorted by digest, the first digest_bytes of sha. number tells
+    the flushes of an index apart."""
     sha = F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), sha.alias("sha"))
+    row = F.monotonically_increasing_id() + F.lit(number << 56)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), sha.alias("sha"))
     rows = rows.withColumn("digest", F.substring("sha", 1, digest_bytes))
-    return common.stored(rows.sortWithinPartitions("digest"), "runs", **{"parquet.bloom.filter.enabled#digest": "true"})
-
-
-def merge(runs: DataFrame, *keys: str) -> DataFrame:
-    """Compaction: one row (keys, keep_id, keep_row, group_size) for each key."""
-    best = runs.groupBy(*keys).agg(F.min(identifier()).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    return best.select(*keys, F.bitwise_not("best.not_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
+    return common.stored(rows.sortWithinPartitions("digest"), "runs")
+
+
+def entries(runs: DataFrame, *keys: str) -> DataFrame:
+    """Runs as entries of a level: (keys, best, group_size), one for each row."""
+    return runs.select(*keys, identifier().alias("best"), F.lit(1).cast("long").alias("group_size"))
+
+
+def merge(found: DataFrame, *keys: str) -> DataFrame:
+    """Compaction: one entry for each key, with the smallest identifier and the sum of the sizes."""
+    return found.groupBy(*keys).agg(F.min("best").alias("best"), F.sum("group_size").alias("group_size"))
+
+
+def named(level: DataFrame, *keys: str) -> DataFrame:
+    """Entries as (keys, keep_id, keep_row, group_size)."""
+    return level.select(*keys, F.bitwise_not("best.not_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
+
+
+class Index:
+    """The index: fresh runs and levels. Its state is a list of stored tables."""
+
+    def __init__(self, digest_bytes: int = DIGEST_BYTES):
+        self.digest_bytes = digest_bytes
+        self.runs: list[DataFrame] = []
+        self.fresh: list[DataFrame] = []
+        self.levels: list[tuple[DataFrame, DataFrame, int]] = []
+
+    def flush(self, docs: DataFrame) -> DataFrame:
+        runs = flush(docs, self.digest_bytes, len(self.runs))
+        self.runs.append(runs)
+        self.fresh.append(runs)
+        return runs
+
+    def _level(self, found: list[DataFrame]) -> tuple[DataFrame, DataFrame, int]:
+        all_entries = found[0]
+        for more in found[1:]:
+            all_entries = all_entries.unionByName(more)
+        parts = max(1, int(all_entries.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        ordered = merge(all_entries, "digest").repartitionByRange(parts, "digest").sortWithinPartitions("digest")
+        level = common.stored(ordered, "level")
+        words = common.filter_words(level.count())
+        return level, common.stored(common.membership_filter(level.select(F.xxhash64("digest").alias("h")), words), "level-filter"), words
+
+    def compact(self) -> None:
+        """Fresh runs become a level; more than FANOUT levels become one."""
+        if self.fresh:
+            self.levels.append(self._level([entries(r, "digest") for r in self.fresh]))
+            self.fresh = []
+        if len(self.levels) > FANOUT:
+            self.levels = [self._level([level for level, _, _ in self.levels])]
+
+    def merged(self) -> DataFrame:
+        """The entries of all levels, one for each digest. A digest's entries in other levels are looked for among those
+        that pass the other level's filter; the rest of a level is final."""
+        if len(self.levels) == 1:
+            return self.levels[0][0]
+        meet, final = None, None
+        for k, (level, _, _) in enumerate(self.levels):
+            flagged = level
+            for j, (_, filt, words) in enumerate(self.levels):
+                if j != k:
+                    flagged = common.maybe_member(flagged, F.xxhash64("digest"), filt, words, f"_in_{j}")
+            somewhere = F.greatest(*[F.col(f"_in_{j}").cast("int") for j in range(len(self.levels)) if j != k], F.lit(0)) == 1
+            shared, alone = flagged.where(somewhere).select(*level.columns), flagged.where(~somewhere).select(*level.columns)
+            meet, final = (shared, alone) if meet is None else (meet.unionByName(shared), final.unionByName(alone))
+        return merge(meet, "digest").unionByName(final)
+
+    def resolve(self, docs: DataFrame) -> DataFrame:
+        """The result for all rows flushed; docs holds their texts, by which hits are verified."""
+        runs = self.runs[0]
+        for more in self.runs[1:]:
+            runs = runs.unionByName(more)
+        total = runs.count()
+        merged = common.stored(named(self.merged().where("group_size > 1"), "digest"), "merged")
+        n_hits = merged.count()
+        if n_hits:
+            texts = suspected_texts(docs, merged, n_hits, self.digest_bytes).groupBy("digest", "text").count()
+            collided = common.stored(texts.groupBy("digest").count().where("count > 1").select("digest"), "collided")
+            if not collided.isEmpty():
+                if self.digest_bytes >= DIGEST_BYTES:
+                    raise RuntimeError("unequal texts share a whole SHA-256 digest; nothing is merged")
+                # equal digests of unequal texts: the texts themselves tell the groups apart, by the full hash that the runs carry
+                runs = runs.join(collided.withColumn("_split", F.lit(True)), "digest", "left").withColumn("digest", F.when(F.col("_split"), F.col("sha")).otherwise(F.col("digest"))).drop("_split")
+                merged = named(merge(entries(runs, "digest"), "digest"), "digest")
+        found = look_up(runs, merged, total, ["digest"])
+        kept = F.col("row") == F.col("keep_row")
+        return found.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def suspected_texts(docs: DataFrame, hits: DataFrame, n_hits: int, digest_bytes: int) -> DataFrame:
@@ -71,23 +159,10 @@ def look_up(runs: DataFrame, merged: DataFrame, total: int, keys: list[str]) ->
 
 def exact_dedup(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
-    runs = flush(docs, digest_bytes)
-    total = runs.count()
-    merged = common.stored(merge(runs, "digest").where("group_size > 1"), "merged")
-    n_hits = merged.count()
-    keys = ["digest"]
-    if n_hits:
-        texts = suspected_texts(docs, merged, n_hits, digest_bytes).groupBy("digest", "text").count()
-        collided = common.stored(texts.groupBy("digest").count().where("count > 1").select("digest"), "collided")
-        if not collided.isEmpty():
-            if digest_bytes >= DIGEST_BYTES:
-                raise RuntimeError("unequal texts share a whole SHA-256 digest; nothing is merged")
-            # equal digests of unequal texts: the texts themselves tell the groups apart, by the full hash that the runs carry
-            runs = runs.join(collided.withColumn("_split", F.lit(True)), "digest", "left").withColumn("digest", F.when(F.col("_split"), F.col("sha")).otherwise(F.col("digest"))).drop("_split")
-            merged = merge(runs, "digest")
-    found = look_up(runs, merged, total, keys)
-    kept = F.col("row") == F.col("keep_row")
-    return found.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    index = Index(digest_bytes)
+    index.flush(docs)
+    index.compact()
+    return index.resolve(docs)
 
 
 def without_copies(docs: DataFrame) -> DataFrame:

@@ -132,13 +132,13 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranks = _ascending_partitions(rows)
     if ranks is not None:
-        rows.mapInArrow(_block_writer(tokenizer, end_id, ranks), BLOCK_SCHEMA).write.parquet(path)
+        rows.mapInArrow(_block_writer(tokenizer, end_id, ranks), BLOCK_SCHEMA).write.option("parquet.block.size", common.ROW_GROUP_BYTES).parquet(path)
         if _in_order(spark, path):
             return
         common.remove(spark, path)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(_block_writer(tokenizer, end_id, None), BLOCK_SCHEMA).write.parquet(path)
+    ranged.mapInArrow(_block_writer(tokenizer, end_id, None), BLOCK_SCHEMA).write.option("parquet.block.size", common.ROW_GROUP_BYTES).parquet(path)
 
 
 def _ascending_partitions(rows: DataFrame) -> dict[int, int] | None:
