@@ -2,9 +2,9 @@
 
 Base spans (email, ip, card, phone) are found by fixed patterns and always stay. High-recall generators then propose
 overlapping spans that the patterns miss: spelt-out addresses, national phone numbers, account and identity numbers,
-hardware and IPv6 addresses, access tokens. Gradient-boosted trees score a candidate by its format and its context, and
-a threshold for each kind, calibrated on held-out examples to PRECISION, selects what is added. Candidates that
-overlap a base span or a better candidate are not added.
+hardware and IPv6 addresses, access tokens. Gradient-boosted trees score a candidate by its format and its context, and a
+threshold for each kind, calibrated to PRECISION on examples of other formats and contexts, selects what is added.
+Candidates that overlap a base span or a better candidate are not added.
 
 The trees are grown on the driver from examples that a seeded rule writes (formats in telling and in misleading
 contexts); no document is learned from.
@@ -12,6 +12,7 @@ contexts); no document is learned from.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -42,7 +43,7 @@ GENERATORS = (
     ("account", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
     ("device", re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?:[:-][0-9A-Fa-f]{1,4}){5,7}(?![0-9A-Fa-f:])")),
     ("identity", re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")),
-    ("secret", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z_-]{24,128}(?![0-9A-Za-z])")),
+    ("secret", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z_-]{24,}(?![0-9A-Za-z])")),
 )
 CONTEXT = 32
 #: Words before a span that speak for a kind of personal data, by feature.
@@ -55,9 +56,13 @@ HINTS = (
     re.compile(r"(?i)\b(?:mac|device|ipv6|host|address)\b"),
     re.compile(r"(?i)\b(?:order|isbn|issn|page|pages|version|no|nr|item|invoice|since|year|chapter|build|total|price|eur|usd)\b"),
 )
+#: Common last labels of domain names.
+TOP_LEVEL = frozenset("com org net edu gov io info biz de fr es uk it nl eu ch at us co".split())
 TREES, DEPTH, RATE, CUTS = 60, 3, 0.3, 12
 PRECISION = 0.97
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+#: Candidates of a text that are scored together.
+SCORED_AT_ONCE = 4096
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long"
 Span = tuple[str, int, int]
 
 
@@ -106,8 +111,10 @@ def candidates(text: str) -> list[Span]:
     """Overlapping proposals of all generators."""
     out = []
     digits = DIGIT.search(text) is not None
+    spelt = "at)" in text or "at]" in text or "at}" in text or (" at " in text and (" dot " in text or "." in text))
     for kind, pattern in GENERATORS:
-        if digits if kind != "email" else ("at)" in text or "at]" in text or "at}" in text or (" at " in text and (" dot " in text or "." in text))):
+        # a generator is skipped only where the text lacks what every match of it holds
+        if spelt if kind == "email" else (kind == "secret" or digits or (kind == "device" and (":" in text or "-" in text))):
             out += [(kind, *m.span()) for m in pattern.finditer(text)]
     return out
 
@@ -130,7 +137,9 @@ def features(text: str, span: Span) -> list[float]:
         sum(c in " ./-" for c in body),
         len({c for c in body if not c.isalnum()}),
         float(body.startswith(("0", "(0", "("))),
-        float("dot" in body.lower()),
+        float(" dot " in body or "(dot)" in body or "[dot]" in body),
+        float(re.search(r"[.\s]\s", body) is not None and "dot" not in body),
+        float(body.rsplit(".", 1)[-1].rsplit(" ", 1)[-1].lower() in TOP_LEVEL),
         float(any(m in body for m in ("(at)", "[at]", "{at}"))),
         len(set(body.lower())) / max(1, len(body)),
         float(digits != "" and luhn(digits)),
@@ -206,10 +215,10 @@ def examples(seed: int, n: int) -> list[tuple[str, Span, int]]:
         neutral = " ".join(word() for _ in range(rng.randint(2, 5)))
         if kind == "email":
             at, dot = rng.choice(((" (at) ", " (dot) "), (" at ", " dot "), ("[at]", "[dot]"), (" [at] ", ".")))
-            body = f"{word()}{at}{word()}{dot}{rng.choice(('com', 'org', 'net', 'de'))}" if good else rng.choice((f"{word()} at {word()}.{word()}", f"{word()} at {word()}. {word()}"))
+            body = f"{word()}{rng.choice(('', '.' + word(), number(2)))}{at}{word()}{dot}{rng.choice(('com', 'org', 'net', 'de'))}" if good else rng.choice((f"{word()} at {word()}.{word()}", f"{word()} at {word()}. {word().title()}", f"{word()} at {word()}.\n{word().title()}", f"{word()} at the.\n{word().title()}", f"{word()} at {word()}. {word().title()}.\n{word().title()}", f"{word()} at {word()}. {word().title()}. {word().title()}"))
             lead = rng.choice((neutral, "mail", "contact me:", "write to")) if good else neutral
         elif kind == "phone":
-            body = rng.choice((f"({number(3)}) {number(3)}-{number(4)}", f"0{number(3)} {number(7)}", f"0{number(2)}-{number(4)}-{number(4)}", f"{number(3)}-{number(3)}-{number(4)}")) if good else rng.choice((number(rng.randint(4, 7)), f"{number(4)}-{number(4)}", f"{number(2)}.{number(2)}.{number(4)}", f"{number(4)} {number(4)}", number(16)))
+            body = rng.choice((f"({number(3)}) {number(3)}-{number(4)}", f"0{number(3)} {number(7)}", f"0{number(2)}-{number(4)}-{number(4)}", f"{number(3)}-{number(3)}-{number(4)}")) if good else rng.choice((number(rng.randint(4, 7)), f"{number(4)}-{number(4)}", f"{number(2)}.{number(2)}.{number(4)}", f"{number(4)} {number(4)}", number(16), f"{number(16)} {number(16)}"))
             lead = rng.choice(("phone", "call", "Tel:", "mobile", neutral)) if good else rng.choice(("order", "isbn", "since", "page", "version", neutral))
         elif kind == "account":
             body = rng.choice(("DE", "FR", "ES", "GB")) + number(2) + " " + " ".join(number(4) for _ in range(rng.randint(3, 5))) if good else rng.choice(("AB", "XY", "NO")) + number(2) + "".join(rng.choice("ABCDEFGH") for _ in range(8))
@@ -230,10 +239,56 @@ def examples(seed: int, n: int) -> list[tuple[str, Span, int]]:
     return out
 
 
+def other_examples(seed: int, n: int) -> list[tuple[str, Span, int]]:
+    """n labelled candidates in lines of another kind (forms, configuration, logs, prose, signatures), by which thresholds are
+    calibrated: their formats and contexts are not those that the trees are grown on."""
+    rng = random.Random(seed)
+    vowels, rest = "aeiouy", "bcdfghklmnprstvz"
+    name = lambda: "".join(rng.choice(rest) + rng.choice(vowels) for _ in range(rng.randint(1, 4)))
+    n_digits = lambda k: str(rng.randrange(10 ** (k - 1), 10**k))
+    mixed = lambda k: "".join(rng.choice("0123456789abcdefABCDEFGHKLMNPQRSTUVWXYZ") for _ in range(k))
+    hexes = lambda k: f"{rng.getrandbits(4 * k):0{k}x}"
+    good = (
+        ("email", lambda: f"{name()}.{name()} (at) {name()} (dot) com", ("Reply: ", "E-Mail: ", "Signed, ")),
+        ("email", lambda: f"{name()}[at]{name()}.org", ("Author ", "<", "by ")),
+        ("email", lambda: f"{name()} at {name()} dot net", ("mail me, ", "reach ")),
+        ("phone", lambda: f"({n_digits(3)}) {n_digits(3)}-{n_digits(4)}", ("Office ", "Mobile: ", "call ")),
+        ("phone", lambda: f"0{n_digits(2)} {n_digits(3)} {n_digits(4)}", ("Tel. ", "phone no. ", "fax ")),
+        ("account", lambda: f"{rng.choice(('DE', 'NL', 'ES'))}{n_digits(2)} {n_digits(4)} {n_digits(4)} {n_digits(4)} {n_digits(4)}", ("IBAN ", "pay to ", "Konto ")),
+        ("device", lambda: ":".join(hexes(2) for _ in range(6)), ("eth0 ", "lladdr ", "device ")),
+        ("identity", lambda: f"{n_digits(3)}-{n_digits(2)}-{n_digits(4)}", ("SSN ", "Social Security No. ")),
+        ("secret", lambda: hexes(rng.choice((32, 40, 64))), ("token: ", "SECRET_KEY=", "password = '")),
+        ("secret", lambda: mixed(rng.randint(28, 60)), ("api_key: ", "Authorization: Bearer ", "key=\"")),
+    )
+    bad = (
+        ("email", lambda: f"{name()} at {name()}.\n{name().title()}", ("we met ", "look ", "she was ")),
+        ("email", lambda: f"{name()} at {name()}. {name().title()}", ("arrived ", "the end of ")),
+        ("email", lambda: f"{name()} at {name()}. {name().title()}.\n{name().title()}", ("", "laughed ")),
+        ("phone", lambda: n_digits(rng.choice((5, 6, 16))), ("order ", "id ", "population ")),
+        ("phone", lambda: f"{n_digits(4)}-{n_digits(4)}", ("pages ", "ISSN ", "years ")),
+        ("phone", lambda: f"{n_digits(4)} {n_digits(5)} {n_digits(6)}", ("values ", "rows ")),
+        ("account", lambda: f"AB{n_digits(2)}{''.join(rng.choice('CDEFGH') for _ in range(8))}", ("part ", "model ")),
+        ("device", lambda: "-".join(str(rng.randint(1, 31)) for _ in range(6)), ("draw ", "dates ")),
+        ("identity", lambda: f"{n_digits(3)}-{n_digits(2)}-{n_digits(4)}", ("item ", "invoice ", "order no ")),
+        ("secret", lambda: "-".join(name() + name() for _ in range(5)), ("see /", "slug ", "title ")),
+        ("secret", lambda: "_".join(name() for _ in range(8)), ("call ", "def ")),
+        ("secret", lambda: rng.choice(("-", "_", "x", "7")) * rng.randint(24, 60), ("", "line ")),
+    )
+    out: list[tuple[str, Span, int]] = []
+    while len(out) < n:
+        label = int(rng.random() < 0.5)
+        kind, body, leads = rng.choice(good if label else bad)
+        text = f"{name().title()} {name()} {rng.choice(leads)}"
+        a = len(text)
+        text += body()
+        out.append((f"{text}{rng.choice((' ', '. ', chr(10), ', '))}{name()} {name()}.", (kind, a, len(text)), label))
+    return out
+
+
 @cache
 def model() -> tuple[Trees, dict[str, float]]:
     """The trees and each kind's threshold: the least with at least PRECISION on the calibration examples."""
-    learn, check = examples(11, 4000), examples(12, 4000)
+    learn, check = examples(11, 4000), other_examples(12, 4000)
     trees = Trees(np.array([features(t, s) for t, s, _ in learn]), np.array([y for *_, y in learn], dtype=float))
     score, label = trees.predict(np.array([features(t, s) for t, s, _ in check])), np.array([y for *_, y in check])
     kind = np.array([s[0] for _, s, _ in check])
@@ -241,26 +296,47 @@ def model() -> tuple[Trees, dict[str, float]]:
     for k in set(kind):
         mine = np.argsort(-score[kind == k])
         s, good = score[kind == k][mine], label[kind == k][mine].cumsum() / np.arange(1, (kind == k).sum() + 1)
-        ok = np.flatnonzero(good >= PRECISION)
+        ok = np.flatnonzero((good >= PRECISION) & np.append(s[1:] < s[:-1], True))  # ties stay together
         cut[str(k)] = max(0.5, float(s[ok[-1]])) if len(ok) else 1.1
     return trees, cut
 
 
+class Taken:
+    """Disjoint spans in order, to be asked whether another one overlaps them."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()):
+        self.spans: list[tuple[int, int]] = []
+        for a, b in sorted(spans):  # base spans may overlap each other
+            if self.spans and a < self.spans[-1][1]:
+                self.spans[-1] = (self.spans[-1][0], max(b, self.spans[-1][1]))
+            else:
+                self.spans.append((a, b))
+
+    def overlaps(self, a: int, b: int) -> bool:
+        k = bisect.bisect_left(self.spans, (b, 0))  # the last span that begins before b
+        return k > 0 and self.spans[k - 1][1] > a
+
+    def add(self, a: int, b: int) -> None:
+        bisect.insort(self.spans, (a, b))
+
+
 def added_spans(text: str, base: list[Span], trees: Trees, cut: dict[str, float]) -> list[Span]:
     """Candidates over their kind's threshold that overlap neither a base span nor a better candidate."""
     proposed = candidates(text)
     if not proposed:
         return []
-    taken = sorted((a, b) for _, a, b in base)
-    proposed = [s for s in proposed if not any(a < s[2] and s[1] < b for a, b in taken)]
+    taken = Taken([(a, b) for _, a, b in base])
+    proposed = [s for s in proposed if not taken.overlaps(s[1], s[2])]
     if not proposed:
         return []
-    score = trees.predict(np.array([features(text, s) for s in proposed]))
+    score = np.concatenate([trees.predict(np.array([features(text, s) for s in proposed[i : i + SCORED_AT_ONCE]])) for i in range(0, len(proposed), SCORED_AT_ONCE)])
     out: list[Span] = []
+    chosen = Taken()
     for i in sorted(range(len(proposed)), key=lambda i: (-score[i], proposed[i][1], proposed[i][2], ORDER[proposed[i][0]])):
-        span = proposed[i]
-        if score[i] >= cut[span[0]] and not any(a < span[2] and span[1] < b for _, a, b in out):
-            out.append(span)
+        kind, a, b = proposed[i]
+        if score[i] >= cut[kind] and not chosen.overlaps(a, b):
+            chosen.add(a, b)
+            out.append(proposed[i])
     return out
 
 
@@ -280,9 +356,9 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """One row per row of docs (doc_id, text): counts of the base kinds, the digest of the base spans, all spans (base
-    and added, places in code points) and how many were added; with_text also the redacted text.
+    and added, places in code points), how many were added and how many there are; with_text also the redacted text.
 
-    Null texts count as empty; empty texts have no spans and the digest of the empty string. Texts are searched whole;
+    Null ids stay null. Null texts count as empty; empty texts have no spans and the digest of the empty string. Texts are searched whole;
     repeated rows repeat; extra columns are ignored; an empty table gives an empty result."""
     common.small_text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model())
@@ -291,14 +367,14 @@ def find(docs: DataFrame, with_text: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, cut = sent.value
         names = [x.split()[0] for x in schema.split(", ")]
-        kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()] + [pa.string()] * with_text
+        kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()] * 2 + [pa.string()] * with_text
         for batch in batches:
             rows = []
             for key, text in zip(batch.column("doc_id").to_pylist(), common.strings(batch.column("text")), strict=True):
                 base = base_spans(text)
                 more = added_spans(text, base, trees, cut)
                 counts = [sum(k == kind for k, *_ in base) for kind in KINDS]
-                row = [key, *counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(base + more), len(more)]
+                row = [key, *counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(base + more), len(more), len(base) + len(more)]
                 rows.append([*row, redacted(text, base + more)] if with_text else row)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)

@@ -28,20 +28,46 @@ DIMENSIONS = 1 << 15
 SHORTEST, LONGEST = 3, 5
 EPOCHS, RATE, DECAY = 300, 0.5, 1e-4
 THRESHOLD = 0.5
-#: Words of host names that the labelled table marks as blocked and as allowed.
-BLOCKED_WORDS = ("spam-farm", "cheap-pills", "casino-win", "adult-x", "free-bets", "ads-track", "spam-mail", "pills-online", "casino-slots", "adult-cams", "bets-now", "ad-tracker", "cheap-meds", "win-prize", "xxx-tube", "free-spins", "clickfarm", "track-pixel")
-ALLOWED_WORDS = ("tionsh", "tionble", "ththth", "therou", "daily-news", "city-library", "open-science", "weather", "museum", "school", "travel-notes", "cooking-blog", "university", "gardening", "history", "sports-club", "music-review", "health-info", "townhall", "trade-fair")
+#: Rows of the labelled table that the driver will fetch and train on.
+MOST_LABELLED = 100_000
+#: What host names of the labelled table are about, blocked and allowed, and words that stand beside both.
+BLOCKED_TERMS = "casino jackpot poker slots lotto bets pills pharma viagra replica cheap adult xxx escort spam clickbait ads popup tracker free".split()
+ALLOWED_TERMS = "news library science weather museum school travel cooking university garden history sports music health council trade theatre nature village train".split()
+BESIDE = "online shop club today net city best my live daily world home big new center".split()
+#: Allowed hosts of no meaning, spelt by a rule, so that letters that say nothing speak for neither side.
+MADE_UP = 60
+HELD_OUT_ONE_IN = 4
 PREFIXES, ZONES, PAGES = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org"), ("/en/12", "/de/345/", "/fr/67.html", "/es/890", "/about", "/")
 
 
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table (url, blocked): every word with a few prefixes, zones and pages, the same for both labels."""
-    rows = []
-    for words, blocked in ((BLOCKED_WORDS, 1), (ALLOWED_WORDS, 0)):
-        for i, word in enumerate(words):
+def made_up(k: int) -> str:
+    """A host word of two to four syllables."""
+    return "".join("bcdfghjklmnprstvwz"[(k * 7 + i * 5 + k // 3) % 18] + "aeiou"[(k + i * i + k // 5) % 5] + "nrslt "[(k * 3 + i) % 6].strip() for i in range(2 + k % 3))
+
+
+def words() -> list[tuple[str, int]]:
+    """(host word, blocked) of the labelled table: each term with four words beside it, before or behind, hyphened or not."""
+    out = []
+    for terms, blocked in ((BLOCKED_TERMS, 1), (ALLOWED_TERMS, 0)):
+        for i, term in enumerate(terms):
             for j in range(4):
-                rows.append((f"http://{PREFIXES[(i + j) % 4]}{word}.{ZONES[(i + 2 * j) % 3]}{PAGES[(i * 2 + j) % 6]}", blocked))
-    return spark.createDataFrame(rows, "url string, blocked int")
+                pair = (term, BESIDE[(3 * i + 4 * j) % len(BESIDE)])
+                out.append((("-" if (i + j) % 3 else "").join(pair if j % 2 else pair[::-1]), blocked))
+    return out + [(made_up(k), 0) for k in range(MADE_UP)]
+
+
+def held_out(word: str) -> bool:
+    return zlib.crc32(word.encode()) % HELD_OUT_ONE_IN == 0
+
+
+def labelled_rows(chosen: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """(url, blocked): every word with a few prefixes, zones and pages, the same for both labels."""
+    return [(f"http://{PREFIXES[(i + j) % 4]}{word}.{ZONES[(i + 2 * j) % 3]}{PAGES[(i * 2 + j) % 6]}", blocked) for i, (word, blocked) in enumerate(chosen) for j in range(4)]
+
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """The small labelled table (url, blocked)."""
+    return spark.createDataFrame(labelled_rows(words()), "url string, blocked int")
 
 
 def after_scheme(url: Column) -> Column:
@@ -70,7 +96,8 @@ def ngram_slots(host: str, path: str) -> np.ndarray:
 
 
 def train(examples: list[tuple[str, str, int]]) -> tuple[np.ndarray, float]:
-    """(weights, bias) from (host, path, blocked) rows, by full-batch gradient descent with decay; deterministic."""
+    """(weights, bias) from (host, path, blocked) rows, by full-batch gradient descent with decay; both labels
+    weigh the same in all; deterministic."""
     slots = [ngram_slots(h, p) for h, p, _ in examples]
     label = np.array([y for _, _, y in examples], dtype=float)
     weights, bias = np.zeros(DIMENSIONS), 0.0
@@ -79,9 +106,11 @@ def train(examples: list[tuple[str, str, int]]) -> tuple[np.ndarray, float]:
     row = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
     flat = np.concatenate(slots)
     scale = 1 / np.sqrt([max(1, len(s)) for s in slots])
+    share = np.clip(label.mean(), 1e-6, 1 - 1e-6)
+    weight = np.where(label > 0, 0.5 / share, 0.5 / (1 - share))  # both labels weigh the same in all
     for _ in range(EPOCHS):
         z = bias + np.bincount(row, weights[flat], len(slots)) * scale
-        error = 1 / (1 + np.exp(-z)) - label
+        error = (1 / (1 + np.exp(-z)) - label) * weight
         weights -= RATE * (np.bincount(flat, (error * scale)[row], DIMENSIONS) + DECAY * weights)
         bias -= RATE * error.mean()
     return weights, bias
@@ -105,9 +134,11 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[tuple[str, str, st
     """One row per row of pages (page_id, url): page_id, host, path, rule, verdict and the model's probability of a block.
 
     A null url or one without `://` has an empty host and path, fits no rule and is judged by the model like any other.
-    labelled (url, blocked) must be small: it is fetched. Repeated rows repeat, extra columns are ignored, an empty
+    labelled (url, blocked) must be small: it is fetched, and more than MOST_LABELLED rows are an error. Repeated rows repeat, extra columns are ignored, an empty
     table gives an empty result, and with an empty labelled table the model is indifferent and allows."""
     split = labelled.select(host_of(F.col("url")).alias("h"), path_of(F.col("url")).alias("p"), "blocked")
+    if labelled.limit(MOST_LABELLED + 1).count() > MOST_LABELLED:
+        raise ValueError(f"more than {MOST_LABELLED} labelled urls")
     weights, bias = train([(r.h, r.p, r.blocked) for r in split.orderBy("h", "p", "blocked").collect()])
     sent = pages.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
 
