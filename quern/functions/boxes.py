@@ -30,9 +30,9 @@ def crop_class(w: Column, h: Column, density: Column, is_text_skipped: Column) -
     return F.when((w < TINY_W) | (h < TINY_H), "tiny").when(density < GRAPHIC_DENSITY, "graphic").when(is_text_skipped, "text").otherwise("ok")
 
 
-def reading_order(df: DataFrame, page: list[str], x: str = "x", y: str = "y") -> DataFrame:
+def reading_order(df: DataFrame, page: list[str], x: str = "x", y: str = "y", ties: tuple[str, ...] = ()) -> DataFrame:
     """Adds block: the box's number from 1 on its page, from top to bottom, then left to right."""
-    return df.withColumn("block", F.row_number().over(Window.partitionBy(*page).orderBy(y, x)))
+    return df.withColumn("block", F.row_number().over(Window.partitionBy(*page).orderBy(y, x, *ties)))
 
 
 def reader_scale(height: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions import dates, records
 from quern.functions import text as T
 
+# The file of each profile.
 PROFILE_FILES = {"ee": "dynamic_resume_ee.txt", "aiml": "dynamic_resume_aiml.txt", "hybrid": "dynamic_resume_hybrid.txt"}
 
 

@@ -117,7 +117,7 @@ def drive_id(url: Column) -> Column:
 
 
 def resource_key(url: Column) -> Column:
-    return extracted(url, r"[?&]resourcekey=([^&#]+)")
+    return F.try_url_decode(extracted(url, r"[?&]resourcekey=([^&#]+)"))
 
 
 def direct_pdf(c: Column) -> Column:

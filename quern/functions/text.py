@@ -1,9 +1,11 @@
-"""Text functions and predicates as Column expressions. None of them leaves the JVM."""
+"""Text functions and predicates as Column expressions. None but path_digest leaves the JVM."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -137,7 +139,8 @@ def name_contains(a: Column, b: Column) -> Column:
 
 
 def safe_file_name(c: Column, longest: int = 200) -> Column:
-    out = F.substring(F.regexp_replace(F.replace(strip(c), F.lit(" "), F.lit("_")), r"[^\w\-. ]", "_"), 1, longest)
+    """Letters and digits of any script, _ - . and spaces as underscores; other characters, combining marks too, become _."""
+    out = F.substring(F.regexp_replace(F.replace(strip(c), F.lit(" "), F.lit("_")), r"[^\p{L}\p{N}_\-. ]", "_"), 1, longest)
     return F.when(F.length(F.coalesce(c, F.lit(""))) == 0, "file").otherwise(out)
 
 
@@ -206,6 +209,21 @@ def fill_template(template: str, mark: str, c: Column) -> Column:
     return F.replace(F.lit(template), F.lit(mark), c)
 
 
+def title_case(c: Column) -> Column:
+    """Every run of letters with its first one in upper case and the rest in lower case."""
+    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
+    return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))), "")
+
+
+def path_digest(c: Column) -> Column:
+    """The BLAKE2b digest of 8 bytes, in hexadecimal, by which a file's cache entry is named."""
+    @F.pandas_udf("string")
+    def digest(paths: pd.Series) -> pd.Series:
+        return paths.map(lambda p: None if p is None else hashlib.blake2b(p.encode(), digest_size=8).hexdigest())
+
+    return digest(c)
+
+
 def first_field(c: Column) -> Column:
     """The first |-separated field of the first line without its numbering; null if there is none or it is too short."""
     line = F.substring_index(c, "\n", 1)

@@ -10,6 +10,8 @@ from quern.functions import vectors as V
 THRESHOLD = 0.3
 #: Profiles that one expression scores; more are scored in as many expressions as it takes.
 PROFILES_AT_ONCE = 64
+#: Profiles that are fetched at most; their number is looked at first.
+MOST_PROFILES = 1024
 
 
 def profile_scores(vector: Column, profiles: list[tuple[int, list[float]]]) -> list[Column]:
@@ -31,6 +33,8 @@ def best_profile(df: DataFrame, vector: str, profiles: DataFrame, profile_id: st
 
     profiles is a small table by its meaning (a person's few resumes): it is read once and becomes part of the
     expression, so nothing is joined or shuffled."""
+    if profiles.limit(MOST_PROFILES + 1).count() > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles")
     rows = profiles.orderBy(profile_id).select(profile_id, F.col(profile_vector).cast("array<double>").alias("v")).collect()
     scores = profile_scores(F.col(vector), [(r[0], list(r["v"])) for r in rows])
     if not scores:

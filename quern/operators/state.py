@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.dedup import first_of
@@ -33,7 +33,8 @@ def resume(expected: DataFrame, done: DataFrame, group: str, key: str, ok: Colum
     """What has to be computed again: expected keys without a good result, or with strict every key of a group that lacks one."""
     joined = expected.join(done.select(F.col(key), ok.alias("_ok")), key, "left").withColumn("_ok", F.coalesce("_ok", F.lit(False)))
     if strict:
-        joined = joined.withColumn("_ok", F.min("_ok").over(Window.partitionBy(group)))
+        open_groups = joined.where(~F.col("_ok")).select(F.col(group).alias("_group")).distinct()
+        return joined.join(open_groups, F.col(group).eqNullSafe(F.col("_group")), "left_semi").drop("_ok")
     return joined.where(~F.col("_ok")).drop("_ok")
 
 

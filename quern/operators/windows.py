@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators.ranks import ranked
+
 from quern.functions import text as T
 
 WIDTH, OVERLAP = 1000, 50
@@ -38,11 +40,26 @@ def chunk_numbers(df: DataFrame, keys: list[str], order: list[Column], size: int
     return df.withColumn("pos", F.row_number().over(w)).withColumn("chunk", F.floor((F.col("pos") - 1) / size).cast("long"))
 
 
-def ratio_split(df: DataFrame, keys: list[str], order: list[Column], numerator: int = 2, denominator: int = 3) -> DataFrame:
-    """Adds side: "first" for the first floor(n * numerator / denominator) rows of the keys, "second" for the rest."""
-    w = Window.partitionBy(*keys)
-    take = F.floor(F.count(F.lit(1)).over(w) * numerator / denominator)
-    return df.withColumn("side", F.when(F.row_number().over(w.orderBy(*order)) <= take, "first").otherwise("second"))
+def ratio_split(df: DataFrame, keys: list[str], order: list[Column], numerator: int = 2, denominator: int = 3, spread: Column | None = None) -> DataFrame:
+    """Adds side: "first" for the first floor(n * numerator / denominator) rows of the keys, "second" for the rest.
+
+    With spread, a number that the order begins with, large groups are ranked by many tasks."""
+    if spread is None:
+        w = Window.partitionBy(*keys)
+        take = F.floor(F.count(F.lit(1)).over(w) * numerator / denominator)
+        return df.withColumn("side", F.when(F.row_number().over(w.orderBy(*order)) <= take, "first").otherwise("second"))
+    takes = df.groupBy(*keys).agg(F.floor(F.count(F.lit(1)) * numerator / denominator).alias("_take"))
+    out = with_group_values(ranked(df, keys, spread, order), takes, keys)
+    return out.withColumn("side", F.when(F.col("rank") <= F.col("_take"), "first").otherwise("second")).select(*df.columns, "side")
+
+
+def with_group_values(df: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the columns that values has for its group. Few groups are broadcast by their size at run time."""
+    named = values.select(*[F.col(c).alias(f"_key_{c}") if c in keys else F.col(c) for c in values.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return df.join(named, same).drop(*[f"_key_{k}" for k in keys])
 
 
 def next_in_order(df: DataFrame, keys: list[str], order: list[Column], value: str, out: str = "next_item") -> DataFrame:
@@ -100,6 +117,7 @@ def numbered_lines(df: DataFrame, keys: list[str], order: list[Column], text: st
 
 
 def min_max_scaled(df: DataFrame, keys: list[str], value: str, epsilon: float = 1e-9) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    low, high = F.min(value).over(w), F.max(value).over(w)
-    return df.withColumn("scaled", (F.col(value) - low) / (high - low + epsilon))
+    """Adds scaled, the value's place between its group's least and greatest. Groups are aggregated, not gathered."""
+    ends = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    out = with_group_values(df, ends, keys)
+    return out.withColumn("scaled", (F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low") + epsilon)).drop("_low", "_high")

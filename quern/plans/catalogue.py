@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import boxes, dates, messages, records
 from quern.functions import text as T
-from quern.operators import dedup, extract, keys, match, ratelimit, state, windows
+from quern.operators import dedup, extract, joins, keys, match, ranks, ratelimit, state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,7 +125,7 @@ def norm_text(spark, sf_dir):
     return t(spark, sf_dir, "pages").select("page_id", T.normalise_name(F.col("url")).alias("name"))
 
 
-@query("SELECT page_id, substr(regexp_replace(replace(url, ' ', '_'), '[^\\w\\-. ]', '_', 'g'), 1, 200) AS file_name FROM pages")
+@query("SELECT page_id, substr(regexp_replace(replace(url, ' ', '_'), '[^\\p{L}\\p{N}_\\-. ]', '_', 'g'), 1, 200) AS file_name FROM pages")
 def sanitize_name(spark, sf_dir):
     return t(spark, sf_dir, "pages").select("page_id", T.safe_file_name(F.col("url")).alias("file_name"))
 
@@ -161,12 +161,13 @@ def page_names(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", T.page_number(name).alias("page"), T.anchored_page_number(name).alias("page_no"), T.issue_prefix(name).alias("issue"))
 
 
-@query("""
-SELECT c_custkey, CASE WHEN contains(lower(c_mktsegment), 'mach') OR contains(lower(c_mktsegment), 'auto') THEN 'ee' WHEN contains(lower(c_mktsegment), 'ai') OR contains(lower(c_mktsegment), 'build') THEN 'aiml' ELSE 'hybrid' END AS profile FROM customer
-""")
+def _any(c: str, keys) -> str:
+    return "(" + " OR ".join(f"contains(lower({c}), '{k}')" for k in keys) + ")"
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN {_any('text', keys)} THEN '{name}'" for name, keys in records.PROFILES) + " ELSE 'hybrid' END AS profile FROM documents")
 def profile_routing(spark, sf_dir):
-    c = F.col("c_mktsegment")
-    return t(spark, sf_dir, "customer").select("c_custkey", F.when(T.contains_any(c, ("mach", "auto")), "ee").when(T.contains_any(c, ("ai", "build")), "aiml").otherwise("hybrid").alias("profile"))
+    return t(spark, sf_dir, "documents").select("doc_id", records.choose_profile(F.col("text")).alias("profile"))
 
 
 # Windows
@@ -192,7 +193,7 @@ def chunk_assignment(spark, sf_dir):
 SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) <= floor(count(*) OVER (PARTITION BY source) * 2 / 3) THEN 'first' ELSE 'second' END AS side FROM documents
 """)
 def ratio_split(spark, sf_dir):
-    return windows.ratio_split(t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["source"], [F.desc("n_chars"), F.col("doc_id")]).select("doc_id", "side")
+    return windows.ratio_split(t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["source"], [F.desc("n_chars"), F.col("doc_id")], spread=-F.col("n_chars")).select("doc_id", "side")
 
 
 @query("""
@@ -298,11 +299,11 @@ FROM q JOIN s a ON a.event_type = q.event_type AND a.rn = least(greatest(j, 1),
 def latency_stats(spark, sf_dir):
     """Mean, least, greatest and the 95th percentile by the exclusive rule (the greatest below 20 rows)."""
     e = t(spark, sf_dir, "events")
-    order = Window.partitionBy("event_type").orderBy("value")
     stats = e.groupBy("event_type").agg(F.avg("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
     j = F.least(F.greatest(F.floor(19 * (F.col("n") + 1) / 20), F.lit(1)), F.col("n") - 1)
     d = (19 * (F.col("n") + 1)) % 20
-    ranked = e.select("event_type", "value", F.row_number().over(order).alias("rn")).join(F.broadcast(stats), "event_type")
+    numbered = ranks.ranked(e.select("event_type", "value"), ["event_type"], F.col("value"), [F.col("value")]).withColumnRenamed("rank", "rn")
+    ranked = windows.with_group_values(numbered, stats, ["event_type"])
     low_part, high_part = F.max(F.when(F.col("rn") == j, F.col("value"))), F.max(F.when(F.col("rn") == j + 1, F.col("value")))
     out = ranked.groupBy("event_type", "mean", "low", "high", "n").agg(low_part.alias("a"), high_part.alias("b"))
     p95 = F.when(F.col("n") < 20, F.col("high")).otherwise((F.col("a") * (20 - d) + F.col("b") * d) / 20)
@@ -346,14 +347,14 @@ def upsert_latest(spark, sf_dir):
 
 
 @query(f"""
-SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE ts >= {CUT}) x
-WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM events h WHERE h.user_id = x.event_id % 1000 AND h.ts < {CUT} AND h.value > 95)
+SELECT event_id, k FROM (SELECT event_id, event_id % 1000 AS k, row_number() OVER (PARTITION BY event_id % 1000 ORDER BY ts, event_id) AS rn FROM events WHERE ts >= {CUT}) x
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM events h WHERE h.user_id = x.k AND h.ts < {CUT} AND h.value > 95)
 """)
 def new_only(spark, sf_dir):
     e = t(spark, sf_dir, "events")
-    first = dedup.first_of(e.where(F.col("ts") >= F.expr(CUT)), ["user_id"], [F.col("ts"), F.col("event_id")]).withColumn("k", F.col("event_id") % 1000)
+    found = e.where(F.col("ts") >= F.expr(CUT)).select("event_id", "ts", (F.col("event_id") % 1000).alias("k"))
     history = e.where((F.col("ts") < F.expr(CUT)) & (F.col("value") > 95)).select(F.col("user_id").alias("k"))
-    return first.join(history.distinct(), "k", "left_anti").select("event_id", "user_id")
+    return match.only_new(found, history, "k", [F.col("ts"), F.col("event_id")]).select("event_id", "k")
 
 
 @query(f"SELECT event_id, ts FROM events WHERE ts > {CUT}")
@@ -368,7 +369,7 @@ def next_watermark(spark, sf_dir):
 
 @query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 50")
 def recent_n(spark, sf_dir):
-    return t(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(50).select("o_orderkey", "o_orderdate", "o_totalprice")
+    return joins.newest(t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"), [F.desc("o_orderdate"), F.desc("o_orderkey")], 50)
 
 
 @query("SELECT event_id, user_id FROM events WHERE ts + INTERVAL 24 HOUR > timestamp '2024-01-29 00:00:00'")
@@ -388,7 +389,19 @@ def retention(spark, sf_dir):
     return out.withColumn("readable", records.readable_size(F.col("bytes").cast("double")))
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+f AS (
+  SELECT event_id, user_id, rn, us AS refilled, us // 86400000000 AS day, 4.0::DOUBLE AS tokens, 1 AS used, 'allowed' AS decision FROM e WHERE rn = 1
+  UNION ALL
+  SELECT event_id, user_id, rn, CASE WHEN quota THEN refilled ELSE us END, us // 86400000000,
+    CASE WHEN quota THEN tokens WHEN filled < 1 THEN filled ELSE filled - 1 END, CASE WHEN quota OR filled < 1 THEN used ELSE used + 1 END,
+    CASE WHEN quota THEN 'quota' WHEN filled < 1 THEN 'tokens' ELSE 'allowed' END
+  FROM (SELECT e.event_id, e.user_id, e.rn, e.us, f.refilled, f.tokens, CASE WHEN f.day = e.us // 86400000000 THEN f.used ELSE 0 END AS used,
+      (CASE WHEN f.day = e.us // 86400000000 THEN f.used ELSE 0 END) >= 20 AS quota, least(5.0::DOUBLE, f.tokens + (e.us / 1e6::DOUBLE - f.refilled / 1e6::DOUBLE) * 15 / 60) AS filled
+    FROM f JOIN e ON e.user_id = f.user_id AND e.rn = f.rn + 1))
+SELECT event_id, user_id, ts, decision FROM f JOIN events USING (event_id, user_id)
+""")
 def token_bucket(spark, sf_dir):
     return ratelimit.token_bucket(t(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", "event_id")
 
@@ -482,22 +495,23 @@ SELECT n_nationkey, c_custkey FROM n JOIN s ON contains(b, trim(regexp_replace(r
 """)
 def fuzzy_name_join(spark, sf_dir):
     nation, customer = t(spark, sf_dir, "nation").select("n_nationkey", "n_name"), t(spark, sf_dir, "customer")
-    named = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lower("c_mktsegment"), F.lit(" of "), F.lower("n_name")).alias("label"))
+    named = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lower("c_mktsegment"), F.lit(" of "), F.lower("n_name")).alias("label"))
     return match.name_join(nation, named, "n_name", "label").select("n_nationkey", "c_custkey")
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, p_name, p_name IS NULL AS needs_fallback FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey WHERE l_quantity > 45
+SELECT l_orderkey, l_linenumber, p_name, p_name IS NULL AS needs_fallback FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey
 """)
 def attach_profile(spark, sf_dir):
     parts = t(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    lines = t(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey")
+    lines = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return match.with_default(lines, parts, "l_partkey", "p_name", F.lit(None).cast("string")).select("l_orderkey", "l_linenumber", "p_name", "needs_fallback")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
 def orphans(spark, sf_dir):
-    return t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
+    good = t(spark, sf_dir, "customer").where("c_acctbal > 0").withColumnRenamed("c_custkey", "o_custkey")
+    return joins.without_partner(t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), good, "o_custkey").select("o_orderkey", "o_custkey")
 
 
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
@@ -534,8 +548,7 @@ def box_filters(spark, sf_dir):
 
 @query(f"SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY y, w, l_linenumber) AS INT) AS block FROM (SELECT {BOX} FROM lineitem)")
 def box_order(spark, sf_dir):
-    w = Window.partitionBy("l_orderkey").orderBy("y", "w", "l_linenumber")
-    return box_rows(spark, sf_dir).select("l_orderkey", "l_linenumber", F.row_number().over(w).alias("block"))
+    return boxes.reading_order(box_rows(spark, sf_dir), ["l_orderkey"], x="w", y="y", ties=("l_linenumber",)).select("l_orderkey", "l_linenumber", "block")
 
 
 @query("""
@@ -573,4 +586,4 @@ def key_rotation(spark, sf_dir):
     return keys.assign(asked, "event_type", ["ts", "event_id"], "s", ["a", "b", "c"]).select("event_id", "label")
 
 
-from quern.plans import more  # noqa: E402, F401  (registers its queries)
+from quern.plans import more, pieces  # noqa: E402, F401  (they register their queries)

@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from quern.functions import dates, records
 from quern.functions import text as T
-from quern.operators import dedup
+from quern.operators import dedup, joins
 from quern.plans.catalogue import query, t
+from quern.sources import files
 
 
 @query("""
-SELECT a.conv_id, a.turn, a.role AS left_role, b.role AS right_role FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id + 1 AND b.turn = a.turn WHERE a.conv_id % 2 = 0
+SELECT a.conv_id, a.turn, a.role AS left_role, b.role AS right_role FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id + 1 AND b.turn = a.turn
 """)
 def zip_join(spark, sf_dir):
     c = t(spark, sf_dir, "conversations")
-    left = c.where("conv_id % 2 = 0").select("conv_id", "turn", F.col("role").alias("left_role"))
-    return left.join(c.select((F.col("conv_id") - 1).alias("conv_id"), "turn", F.col("role").alias("right_role")), ["conv_id", "turn"])
+    left = c.select("conv_id", "turn", F.col("role").alias("left_role"))
+    return joins.zipped(left, c.select((F.col("conv_id") - 1).alias("conv_id"), "turn", F.col("role").alias("right_role")), ["conv_id", "turn"])
 
 
 @query("SELECT a.source AS issue, count(*) AS files FROM (SELECT DISTINCT source FROM documents) a JOIN documents b ON starts_with(b.source || '_p1', a.source || '_p') GROUP BY 1")
@@ -29,9 +30,8 @@ def issue_files(spark, sf_dir):
 
 @query("SELECT l_partkey, min(l_orderkey) AS first_order, arg_min(l_linenumber, l_orderkey * 100 + l_linenumber) AS first_line FROM lineitem GROUP BY l_partkey")
 def locate_first(spark, sf_dir):
-    place = F.struct("l_orderkey", "l_linenumber")
-    out = t(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.min(place).alias("m"))
-    return out.select("l_partkey", F.col("m.l_orderkey").alias("first_order"), F.col("m.l_linenumber").alias("first_line"))
+    found = joins.first_place(t(spark, sf_dir, "lineitem"), ["l_partkey"], ["l_orderkey", "l_linenumber"])
+    return found.withColumnsRenamed({"l_orderkey": "first_order", "l_linenumber": "first_line"})
 
 
 @query("""
@@ -39,10 +39,8 @@ WITH r AS (SELECT o_orderkey, o_custkey, o_orderpriority LIKE '1%' AS urgent FRO
 SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY urgent DESC, CASE WHEN urgent THEN -o_orderkey ELSE o_orderkey END) AS INT) AS place FROM r
 """)
 def priority_order(spark, sf_dir):
-    """Prioritised rows go to the front one after the other, which turns their order round; the rest keep theirs."""
     r = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.startswith("o_orderpriority", F.lit("1")).alias("urgent"))
-    turned = F.when(F.col("urgent"), -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
-    return r.select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("urgent"), turned)).alias("place"))
+    return joins.front_inserts(r, ["o_custkey"], F.col("urgent"), "o_orderkey").select("o_orderkey", "place")
 
 
 @query("SELECT event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS most FROM events")
@@ -54,11 +52,11 @@ def running_max(spark, sf_dir):
 @query("""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM documents)
 SELECT doc_id, array_to_string(list_slice(w, 1, 5), ' ') AS head, len(list_filter(w, lambda x: length(x) > 8)) > 0 AS any_long, len(list_filter(w, lambda x: length(x) < 1)) = 0 AS none_empty,
-CAST(len(list_distinct(list_transform(list_slice(w, 1, 200), lambda x: lower(x)))) AS INT) AS kinds FROM w
+CAST(len(list_distinct(list_transform(w, lambda x: lower(x)))) AS INT) AS kinds FROM w
 """)
 def array_functions(spark, sf_dir):
     w = T.words(F.col("text"))
-    kinds = F.size(F.array_distinct(F.transform(F.slice(w, 1, 200), F.lower)))
+    kinds = F.size(F.array_distinct(F.transform(w, F.lower)))
     return t(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(w, 1, 5), " ").alias("head"), F.exists(w, lambda x: F.length(x) > 8).alias("any_long"), F.forall(w, lambda x: F.length(x) > 0).alias("none_empty"), kinds.alias("kinds"))
 
 
@@ -94,7 +92,7 @@ def ordered_distinct(spark, sf_dir):
 def templated_urls(spark, sf_dir):
     pattern = F.concat(F.lit('{"page": '), F.col("o_orderkey").cast("string"), F.lit(', "date": {date}}'))
     rows = t(spark, sf_dir, "orders").withColumn("pattern", pattern)
-    return rows.select("o_orderkey", F.replace("pattern", F.lit("{date}"), F.date_format("o_orderdate", "dd-MM-yyyy")).alias("url"))
+    return files.templated_urls(rows, "pattern", F.col("o_orderdate"), F.lit("dd-MM-yyyy")).select("o_orderkey", "url")
 
 
 @query("SELECT c_custkey, least(greatest(CASE WHEN c_custkey % 3000 > 2000 THEN least(c_nationkey * 20, 200) ELSE c_nationkey * 20 END, 150), 300) AS dpi, least(1.0, 768 / (c_custkey + 1)::DOUBLE) AS scale FROM customer")

@@ -120,7 +120,7 @@ def schedule(spark: SparkSession, path: str) -> DataFrame:
 
 def templated_urls(df: DataFrame, pattern: str, day: Column, spelling: Column) -> DataFrame:
     """Adds url: the pattern with {date} replaced by the day's spelling."""
-    return df.withColumn("url", F.replace(F.col(pattern), F.lit("{date}"), F.date_format(day, spelling)))
+    return df.withColumn("url", F.replace(F.col(pattern), F.lit("{date}"), F.call_function("date_format", day, spelling)))
 
 
 def attachment_text(name: Column, content: Column) -> Column:
@@ -147,10 +147,13 @@ STATE = S.StructType([S.StructField("file_path", S.StringType()), S.StructField(
 
 
 def report(rows: DataFrame, title: str, most: int = 1000) -> str:
-    """A Markdown report of a ranked shortlist (a few rows by its meaning): counts, a section for each row, its tier."""
+    """A Markdown report of a ranked shortlist: counts, a section for each row, its tier. More than `most` rows are an error,
+    as a report is read by a person and made on the driver."""
     from quern.functions.records import tier
 
-    listed = rows.withColumn("tier", tier(F.col("similarity"))).orderBy(F.desc("similarity"), "job_id").limit(most).collect()
+    listed = rows.withColumn("tier", tier(F.col("similarity"))).orderBy(F.desc("similarity"), "job_id").limit(most + 1).collect()
+    if len(listed) > most:
+        raise ValueError(f"more than {most} rows for one report")
     parts = [f"# {title}", "", f"{len(listed)} entries", ""]
     for k, r in enumerate(listed, 1):
         parts += [f"## {k}. {r.job_id}", "", r.job_text, "", f"- similarity: {r.similarity:.3f}", f"- tier: {r.tier}", ""]

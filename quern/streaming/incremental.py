@@ -51,7 +51,7 @@ def page_completions(stream: DataFrame) -> DataFrame:
         if not done and len(seen) >= expected:
             done = True
             yield pd.DataFrame({"page": [k[0]], "blocks": [len(seen)]})
-        kept.update((done, sorted(seen)))
+        kept.update((done, [] if done else sorted(seen)))  # a page that is done keeps no set
 
     return stream.groupBy("page").applyInPandasWithState(run, "page string, blocks long", "done boolean, seen array<long>", "append", GroupStateTimeout.NoTimeout)
 
