@@ -7,7 +7,8 @@ import os
 import tempfile
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,6 +95,17 @@ def text_flags(judge: Callable[[], Callable[[list[str | None]], list[bool]]], te
     return F.arrow_udf(run, "boolean")(text)
 
 
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """A worker's model, made once. A worker holds one at a time: the next stage's takes the place of the last one's."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+_held: dict[Hashable, Any] = {}
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

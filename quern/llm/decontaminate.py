@@ -324,15 +324,9 @@ def _passes(benchmark: DataFrame, item_bytes_a_pass: int) -> Iterator[list[tuple
         yield [(r.item_id, normalised(r.text)) for r in part]
 
 
-_built: dict[str, Items] = {}
-
-
 def _index(number: str, sent: Broadcast) -> Items:
     """The worker's index of a pass."""
-    if number not in _built:
-        _built.clear()
-        _built[number] = Items(sent.value)
-    return _built[number]
+    return common.held(number, lambda: Items(sent.value))
 
 
 def _one_pass(docs: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:

@@ -305,16 +305,14 @@ def parts(docs: DataFrame, sent: Broadcast, scale: float) -> DataFrame:
     return docs.select("doc_id", "training", "text").mapInArrow(run, PART_SCHEMA)
 
 
-_tables: dict[str, tuple[Known, Known]] = {}
-
-
 def _known(model: str, sent: Broadcast) -> tuple[Known, Known]:
     """The worker's tables of a model."""
-    if model not in _tables:
-        _tables.clear()
+
+    def tables() -> tuple[Known, Known]:
         codes, p, h1, h2, c = sent.value
-        _tables[model] = Known(codes, p), Known(h1, c, h2)
-    return _tables[model]
+        return Known(codes, p), Known(h1, c, h2)
+
+    return common.held(model, tables)
 
 
 def _arrays(df: DataFrame) -> list[np.ndarray]:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from quern.llm.common import env_threads_off, strings
+from quern.llm.common import env_threads_off, held, strings
 
 #: Chunks a worker remembers, at about 40 bytes each; beyond it those that were not met for longest are forgotten.
 CHUNKS_KNOWN = 400_000
@@ -204,13 +204,6 @@ def encoded(batches: Iterator[pa.RecordBatch], encode: Encoder) -> Iterator[tupl
         yield keys, encode.encode(texts)
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, drops_space: bool) -> Encoder:
     """One encoder, with its memory, for each tokenizer file and worker."""
-    key = (path, drops_space)
-    if key not in _encoders:
-        _encoders.clear()  # an earlier stage's memory is of no use to this one
-        _encoders[key] = Encoder(path, drops_space)
-    return _encoders[key]
+    return held(("encoder", path, drops_space), lambda: Encoder(path, drops_space))
