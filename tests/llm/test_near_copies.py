@@ -69,6 +69,21 @@ def test_planted_near_copies_and_large_groups(spark):
     assert {r.doc_id for r in out.collect()} == plain_kept(table)
 
 
+def test_large_buckets_lose_no_pair(spark, monkeypatch):
+    """A text that is near to a hundred others, which are not near to each other: few of them are its buckets' pivots."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    shared = [word() for _ in range(250)]
+    table = [(k, " ".join(shared + [word() for _ in range(41)])) for k in range(100)]
+    assert plain_kept(table) == set(range(100))
+    table.append((500, " ".join(shared)))
+    assert plain_kept(table) == {0}
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    assert [r.doc_id for r in near_copies.without_near_copies(docs).collect()] == [0]
+    monkeypatch.setattr(near_copies, "unsettled", lambda large, roots, sets: roots.select("node", "root").toDF("a", "b").limit(0))
+    assert near_copies.without_near_copies(docs).count() > 1  # pivots alone do not find them all
+
+
 def test_odd_rows(spark):
     out = near_copies.without_near_copies(odd(spark))
     assert out.columns == odd(spark).columns
