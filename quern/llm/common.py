@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that carries whole texts; bounds a Python worker's memory on tables of long documents.
 TEXT_ROWS_PER_BATCH = 512
+#: Bytes of an Arrow batch beyond which no further row is added to it.
+TEXT_BYTES_PER_BATCH = 8 << 20
 #: Row groups of scratch tables: what a writing task holds in memory.
 ROW_GROUP_BYTES = str(32 << 20)
 #: Upper-case ASCII letters and their lower-case forms: the only case folding the contracts ask for.
@@ -76,10 +78,14 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
 
 
 def small_text_batches(spark: SparkSession) -> None:
-    """Lowers (never raises) the session's Arrow batch to TEXT_ROWS_PER_BATCH rows, as texts may be very long."""
+    """Lowers (never raises) the session's Arrow batches to TEXT_ROWS_PER_BATCH rows and TEXT_BYTES_PER_BATCH bytes, as texts
+    may be very long. The settings are the session's, as Spark has none for a single operator."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= TEXT_ROWS_PER_BATCH:
         spark.conf.set(key, str(TEXT_ROWS_PER_BATCH))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, str(1 << 30)) == str(1 << 30):  # a value that was set is left as it is
+        spark.conf.set(key, str(TEXT_BYTES_PER_BATCH))
 
 
 def text_flags(judge: Callable[[], Callable[[list[str | None]], list[bool]]], text: Column) -> Column:

@@ -8,8 +8,10 @@ exact Jaccard similarity of their sets, and links of SIMILARITY or more are foll
 
 Pivots settle nearly all of a large bucket, and the rest is done exactly. Nodes of a large bucket that links have not made
 one component meet by prefixes: with shingles ordered from rare to frequent, two sets of SIMILARITY or more share one of
-the first of either. Sets with a common frequent part, but rare shingles of their own, never meet there; of those that do,
-only nodes of unlike components are compared.
+the first of either. How frequent a shingle is, a table of SLOTS counters tells, which all tasks know, so a set is put in
+order where it lies and only its prefix is shuffled. Sets with a common frequent part, but rare shingles of their own, never
+meet there; of those that do, only nodes of unlike components whose sizes and places leave room for enough shared shingles
+are compared.
 
 A pair at similarity s shares a band with probability 1 - (1 - s**BAND_ROWS)**BANDS: 0.9998 at 0.8, more above. No pair that
 shares a band is lost.
@@ -17,11 +19,12 @@ shares a band is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import common, simhash
@@ -32,6 +35,8 @@ BANDS, BAND_ROWS = 16, 4
 ALL_PAIRS = 24
 #: What node keys are turned by to choose a bucket's pivots.
 PIVOTS = (0x243F6A8885A308D3, 0x13198A2E03707344)
+#: Counters of shingles; unlike shingles may share one, which costs a worse order and no result.
+SLOTS = 1 << 20
 #: Keys with at least one in so many rows are joined by broadcast: so many at most.
 HEAVY_SHARE = 1000
 #: Shingles whose MinHash values are formed together; bounds the work array of a very long text.
@@ -40,9 +45,9 @@ MULTIPLIERS = np.random.default_rng(11).integers(0, 1 << 63, size=BANDS * BAND_R
 MASKS = np.random.default_rng(12).integers(0, 1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64)
 
 
-def shingles(text: str) -> np.ndarray:
-    """The sorted set of hashes of the text's runs of WIDTH words; of all words if they are fewer; empty without words."""
-    return np.unique(simhash.shingle_hashes(simhash.words_of(text), WIDTH))
+def shingles(text: str, width: int = WIDTH) -> np.ndarray:
+    """The sorted set of hashes of the text's runs of `width` words; of all words if they are fewer; empty without words."""
+    return np.unique(simhash.shingle_hashes(simhash.words_of(text), width))
 
 
 def node_key(found: np.ndarray) -> int:
@@ -52,16 +57,22 @@ def node_key(found: np.ndarray) -> int:
     return simhash._signed(xxh3_64_intdigest(found.tobytes()))
 
 
+def signature(found: np.ndarray, masks: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """The least value of the set under each of the hash functions."""
+    least = np.full(len(masks), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for i in range(0, len(found), SHINGLES_AT_ONCE):
+        part = found[i : i + SHINGLES_AT_ONCE, None]
+        np.minimum(least, ((part ^ masks) * multipliers).min(axis=0), out=least)
+    return least
+
+
 def bands(found: np.ndarray) -> list[int]:
     """A signed long for each band of the set's signature; none of an empty set."""
     from xxhash import xxh3_64_intdigest
 
     if not len(found):
         return []
-    least = np.full(BANDS * BAND_ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for i in range(0, len(found), SHINGLES_AT_ONCE):
-        part = found[i : i + SHINGLES_AT_ONCE, None]
-        np.minimum(least, ((part ^ MASKS) * MULTIPLIERS).min(axis=0), out=least)
+    least = signature(found, MASKS, MULTIPLIERS)
     return [simhash._signed(xxh3_64_intdigest(row.tobytes(), k)) for k, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
 
 
@@ -72,23 +83,25 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / either if either else 1.0
 
 
-def signed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, node, bands) for each row of docs (doc_id, digest, text)."""
+def signed_texts(docs: DataFrame, width: int = WIDTH, keys: Callable[[np.ndarray], list[int]] = bands) -> DataFrame:
+    """(doc_id, digest, node, size, bands) for each row of docs (doc_id, digest, text): size is that of the set of shingles,
+    bands are the keys of buckets that `keys` makes of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in common.strings(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array([node_key(s) for s in sets], pa.int64()), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "digest", "node", "bands"])
+            sets = [shingles(t, width) for t in common.strings(batch.column("text"))]
+            columns = [pa.array([node_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([keys(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], names=["doc_id", "digest", "node", "size", "bands"])
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest long, node long, bands array<long>")
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest long, node long, size long, bands array<long>")
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(node, shingles) for each row of docs (text); shingles holds the sorted hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in common.strings(batch.column("text"))]
+            sets = [shingles(t, width) for t in common.strings(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array([node_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     return docs.select("text").mapInArrow(run, "node long, shingles binary")
@@ -116,10 +129,15 @@ def _joined(rows: DataFrame, other: DataFrame, on: str, counts: DataFrame | None
     return hot.unionByName(cold)
 
 
+def room(size_a: Column, size_b: Column) -> Column:
+    """False if sets of these sizes cannot have SIMILARITY."""
+    return F.least(size_a, size_b) >= F.greatest(size_a, size_b) * F.lit(SIMILARITY) - F.lit(1e-6)
+
+
 def proposed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of nodes (node, bands): distinct pairs (a, b), a < b, all of small buckets and those with a pivot of large ones; and
-    (bucket, node) of large buckets."""
-    dealt = common.stored(nodes.select("node", F.explode("bands").alias("bucket")), "bands")
+    """Of nodes (node, size, bands): distinct pairs (a, b), a < b, all of small buckets (but those whose sizes rule them out)
+    and those with a pivot of large ones; and (bucket, node) of large buckets."""
+    dealt = common.stored(nodes.select("node", "size", F.explode("bands").alias("bucket")), "bands")
     # a pivot is the least of the bucket's keys after they are turned, which partial minima find in fixed-width buffers
     turn = [F.lit(simhash._signed(p)).bitwiseXOR(F.col("bucket")) for p in PIVOTS]
     least = [F.min(F.col("node").bitwiseXOR(t)).alias(f"p{k}") for k, t in enumerate(turn)]
@@ -127,16 +145,58 @@ def proposed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = common.stored(found.select("bucket", "n", F.array(*[F.col(f"p{k}").bitwiseXOR(t) for k, t in enumerate(turn)]).alias("pivots")), "buckets")
     shared = common.stored(_maybe(dealt, F.col("bucket"), buckets.select("bucket")), "shared")
     met = common.stored(_joined(shared, buckets, "bucket"), "met")
-    small = met.where(F.col("n") <= ALL_PAIRS).select("bucket", "node")
-    all_pairs = small.withColumnRenamed("node", "a").join(small.withColumnRenamed("node", "b"), "bucket").where("a < b").select("a", "b")
+    small = met.where(F.col("n") <= ALL_PAIRS)
+    a, b = (small.select("bucket", F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
+    all_pairs = a.join(b, "bucket").where("a < b").where(room(F.col("size_a"), F.col("size_b"))).select("a", "b")
     large = met.where(F.col("n") > ALL_PAIRS).select("node", F.explode("pivots").alias("pivot")).where("node != pivot")
     pairs = all_pairs.unionByName(large.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))).distinct()
     return pairs, met.where(F.col("n") > ALL_PAIRS).select("bucket", "node")
 
 
-def prefix_size(size: Column) -> Column:
+def _slots(found: np.ndarray) -> np.ndarray:
+    """A shingle hash's counter. The hashes are even enough for their high bits to serve."""
+    return (found >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """SLOTS counters of the shingles of all sets (shingles): each task adds up its own, so SLOTS rows a task are shuffled at
+    most, and as many reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for x in batch.column("shingles"):
+                np.add.at(counts, _slots(np.frombuffer(x.as_buffer(), dtype=np.uint64)), 1)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["slot", "n"])
+
+    found = sets.select("shingles").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SLOTS, dtype=np.int64)
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def prefix_size(size: int) -> int:
     """How many of a set's first shingles, in any order that all sets follow, a set of SIMILARITY or more shares one of."""
-    return size - F.ceil(size * F.lit(SIMILARITY) - F.lit(1e-6)) + 1
+    return size - math.ceil(size * SIMILARITY - 1e-6) + 1
+
+
+def prefixes(sets: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(node, root, size, place, shingle) of sets (node, root, shingles): the rarest of each, place from 1."""
+    known = sets.sparkSession.sparkContext.broadcast(counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, first = [], []
+            for x in batch.column("shingles"):
+                found = np.frombuffer(x.as_buffer(), dtype=np.uint64)
+                order = np.lexsort((found, known.value[_slots(found)]))
+                sizes.append(len(found))
+                first.append(found[order[: prefix_size(len(found))]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("root"), pa.array(sizes, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["node", "root", "size", "first"])
+
+    out = sets.select("node", "root", "shingles").mapInArrow(run, "node long, root long, size long, first array<long>")
+    return out.select("node", "root", "size", F.posexplode("first").alias("place", "shingle")).withColumn("place", F.col("place") + 1)
 
 
 def unsettled(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
@@ -145,36 +205,27 @@ def unsettled(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     rooted = common.stored(large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     several = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("bucket")
     rest = common.stored(_maybe(rooted, F.col("bucket"), common.stored(several, "several")).join(several, "bucket", "left_semi").select("node", "root").distinct(), "rest")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = pa.array([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column("shingles")], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("root"), found], names=["node", "root", "found"])
-
-    held = sets.join(rest, "node").select("node", "root", "shingles").mapInArrow(run, "node long, root long, found array<long>")
-    each = common.stored(held.select("node", "root", F.size("found").alias("size"), F.explode("found").alias("shingle")), "shingles")
-    counts = _counted(each, "shingle")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("_quern_n", "shingle"))
-    ranked = _joined(each, counts, "shingle", counts).withColumn("place", place)
-    first = ranked.where(F.col("place") <= prefix_size(F.col("size"))).select("node", "root", "size", "shingle")
-    first = common.stored(first, "prefixes")
+    held = common.stored(sets.join(rest, "node").select("node", "root", "shingles"), "held")
+    first = common.stored(prefixes(held, frequencies(held)), "prefixes")
     mixed = first.groupBy("shingle").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("shingle")
     met = common.stored(first.join(mixed, "shingle", "left_semi"), "mixed")
-    a, b = (met.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size")]) for x in "ab")
-    sized = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(SIMILARITY) - F.lit(1e-6)
-    pairs = a.join(b, "shingle").where("node_a < node_b and root_a != root_b").where(sized)
+    a, b = (met.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "place")]) for x in "ab")
+    # beyond the first shared shingle, only what follows it in both can be shared
+    follow = 1 + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = follow >= (F.col("size_a") + F.col("size_b")) * F.lit(SIMILARITY / (1 + SIMILARITY)) - F.lit(1e-6)
+    pairs = a.join(b, "shingle").where("node_a < node_b and root_a != root_b").where(room(F.col("size_a"), F.col("size_b")) & enough)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b) of nodes (node, least, bands) whose sets have SIMILARITY or more: of the proposed pairs, and then of those that
+def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(a, b) of nodes (node, least, size, bands) whose sets have SIMILARITY or more: of the proposed pairs, and then of those that
     large buckets leave unsettled. docs holds the texts by doc_id; only those of nodes in a pair are read again."""
     pairs, large = proposed(nodes)
     pairs, large = common.stored(pairs, "proposed"), common.stored(large, "large")
     paired = common.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
     ids = common.stored(_maybe(nodes.select("node", "least"), F.col("node"), paired).select("least").distinct(), "ids")
     texts = _maybe(docs, F.col("doc_id"), ids)
-    sets = common.stored(sets_of(texts).join(paired, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = common.stored(sets_of(texts, width).join(paired, "node", "left_semi").dropDuplicates(["node"]), "sets")
     found = common.stored(similar(pairs, sets), "links")
     if large.isEmpty():
         return found
@@ -207,7 +258,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     common.small_text_batches(docs.sparkSession)
     docs = keyed(docs).where("doc_id is not null").select("doc_id", "text", "digest")
     texts = common.stored(signed_texts(docs), "signed")
-    nodes = common.stored(texts.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "nodes")
+    nodes = common.stored(texts.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
     roots = common.stored(simhash.components(common.stored(links(docs, nodes), "links")), "roots")
     with_root = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     smallest = with_root.groupBy("root").agg(F.min("least").alias("component_id"))
