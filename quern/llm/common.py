@@ -22,6 +22,8 @@ TEXT_BYTES_PER_BATCH = 8 << 20
 ROW_GROUP_BYTES = str(32 << 20)
 #: Upper-case ASCII letters and their lower-case forms: the only case folding the contracts ask for.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Keys with at least one in so many rows are joined by broadcast: so many at most.
+HEAVY_SHARE = 1000
 #: Words of 64 bits in the largest membership filter that is broadcast: 2**20 words are about 40 MB as rows.
 MAX_FILTER_WORDS = 1 << 20
 
@@ -162,6 +164,21 @@ def without_rows(docs: DataFrame, dropped: DataFrame, expected: int, on: tuple[s
     return sure.select(docs.columns).unionByName(rest.select(docs.columns))
 
 
+def counted(rows: DataFrame, on: str) -> DataFrame:
+    return stored(rows.groupBy(on).agg(F.count(F.lit(1)).alias("_quern_n")), "counts")
+
+
+def joined(rows: DataFrame, other: DataFrame, on: str, counts: DataFrame | None = None) -> DataFrame:
+    """rows joined with other, whose `on` is unique. Keys behind which many rows stand are joined by broadcast. counts are
+    the rows' own (_counted), where they are at hand."""
+    counts = counted(rows, on) if counts is None else counts
+    least = max(2, -(-(counts.agg(F.sum("_quern_n")).first()[0] or 0) // HEAVY_SHARE))
+    heavy = stored(counts.where(F.col("_quern_n") >= least).select(on), "heavy")
+    hot = rows.join(F.broadcast(other.join(F.broadcast(heavy), on, "left_semi")), on)
+    cold = rows.join(F.broadcast(heavy), on, "left_anti").join(other, on)
+    return hot.unionByName(cold)
+
+
 def strings(column) -> list[str]:
     """An Arrow or pandas string column as Python strings; nulls become empty."""
     values = column.to_pylist() if hasattr(column, "to_pylist") else list(column)

@@ -37,8 +37,6 @@ ALL_PAIRS = 24
 PIVOTS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 #: Counters of shingles; unlike shingles may share one, which costs a worse order and no result.
 SLOTS = 1 << 20
-#: Keys with at least one in so many rows are joined by broadcast: so many at most.
-HEAVY_SHARE = 1000
 #: Shingles whose MinHash values are formed together; bounds the work array of a very long text.
 SHINGLES_AT_ONCE = 1 << 12
 MULTIPLIERS = np.random.default_rng(11).integers(0, 1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -114,21 +112,6 @@ def _maybe(df: DataFrame, column: Column, keys: DataFrame) -> DataFrame:
     return common.maybe_member(df, F.xxhash64(column), common.membership_filter(hashes, words), words, "_quern_maybe").where("_quern_maybe").drop("_quern_maybe")
 
 
-def _counted(rows: DataFrame, on: str) -> DataFrame:
-    return common.stored(rows.groupBy(on).agg(F.count(F.lit(1)).alias("_quern_n")), "counts")
-
-
-def _joined(rows: DataFrame, other: DataFrame, on: str, counts: DataFrame | None = None) -> DataFrame:
-    """rows joined with other, whose `on` is unique. Keys behind which many rows stand are joined by broadcast. counts are
-    the rows' own (_counted), where they are at hand."""
-    counts = _counted(rows, on) if counts is None else counts
-    least = max(2, -(-(counts.agg(F.sum("_quern_n")).first()[0] or 0) // HEAVY_SHARE))
-    heavy = common.stored(counts.where(F.col("_quern_n") >= least).select(on), "heavy")
-    hot = rows.join(F.broadcast(other.join(F.broadcast(heavy), on, "left_semi")), on)
-    cold = rows.join(F.broadcast(heavy), on, "left_anti").join(other, on)
-    return hot.unionByName(cold)
-
-
 def room(size_a: Column, size_b: Column) -> Column:
     """False if sets of these sizes cannot have SIMILARITY."""
     return F.least(size_a, size_b) >= F.greatest(size_a, size_b) * F.lit(SIMILARITY) - F.lit(1e-6)
@@ -144,7 +127,7 @@ def proposed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *least).where("n > 1")
     buckets = common.stored(found.select("bucket", "n", F.array(*[F.col(f"p{k}").bitwiseXOR(t) for k, t in enumerate(turn)]).alias("pivots")), "buckets")
     shared = common.stored(_maybe(dealt, F.col("bucket"), buckets.select("bucket")), "shared")
-    met = common.stored(_joined(shared, buckets, "bucket"), "met")
+    met = common.stored(common.joined(shared, buckets, "bucket"), "met")
     small = met.where(F.col("n") <= ALL_PAIRS)
     a, b = (small.select("bucket", F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
     all_pairs = a.join(b, "bucket").where("a < b").where(room(F.col("size_a"), F.col("size_b"))).select("a", "b")
@@ -237,7 +220,7 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets (node, shingles) have SIMILARITY or more."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    both = _joined(_joined(pairs, left, "a"), right, "b").select("a", "b", "of_a", "of_b")
+    both = common.joined(common.joined(pairs, left, "a"), right, "b").select("a", "b", "of_a", "of_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,10 +247,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     smallest = with_root.groupBy("root").agg(F.min("least").alias("component_id"))
     named = common.stored(with_root.join(smallest, "root").select("node", "root", "component_id"), "named")
     rows = texts.groupBy("doc_id", "digest", "node").agg(F.count(F.lit(1)).alias("times"))
-    found = common.stored(_joined(rows, named, "node"), "found")
+    found = common.stored(common.joined(rows, named, "node"), "found")
     # one text of each component's smallest id
     keep = common.stored(found.where("doc_id = component_id").groupBy("root").agg(F.min("digest").alias("keep_digest")), "keep")
-    return _joined(found, keep, "root").select("doc_id", "digest", "component_id", "keep_digest", "times")
+    return common.joined(found, keep, "root").select("doc_id", "digest", "component_id", "keep_digest", "times")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
