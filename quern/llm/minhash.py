@@ -2,7 +2,9 @@
 
 A set of shingles has a signature of CHUNKS * CHUNK values, the low BITS bits of its least hash under as many functions; the
 distance of two signatures is the number of places where they differ. Signatures are cut into CHUNKS chunks of CHUNK
-values. Two that differ in at most DISTANCE = CHUNKS * (ERRORS + 1) - 1 places have, by pigeonhole, a chunk with at most
+values. Two that differ in at most #: Sets of a large bucket that each of its sets is compared with first. With so many keys a set meets many buckets, so one will do.
+PIVOTS = 1
+DISTANCE = CHUNKS * (ERRORS + 1) - 1 places have, by pigeonhole, a chunk with at most
 ERRORS errors, and so agree on one of the chunk's variants that leave ERRORS of its places out. Each variant of each
 chunk is a key; sets that share a key are candidates. No pair within DISTANCE is missed.
 
@@ -25,6 +27,8 @@ from quern.llm import common, near_copies, simhash
 
 WIDTH = 4
 CHUNKS, CHUNK, ERRORS, BITS = 12, 6, 1, 16
+#: Sets of a large bucket that each of its sets is compared with first. With so many keys a set meets many buckets, so one will do.
+PIVOTS = 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Places of a chunk that a variant keeps, one row of flags for each variant.
 VARIANTS = np.array([[k not in left for k in range(CHUNK)] for left in combinations(range(CHUNK), ERRORS)])
@@ -63,7 +67,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = common.stored(near_copies.signed_texts(docs, WIDTH, keys), "signed")
     full = texts.where("doc_id is not null and size > 0")
     nodes = common.stored(full.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
-    found = near_copies.links(docs.where("doc_id is not null"), nodes, WIDTH)
+    found = near_copies.links(docs.where("doc_id is not null"), nodes, WIDTH, PIVOTS)
     roots = common.stored(simhash.components(common.stored(found, "links")), "roots")
     with_root = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     smallest = with_root.groupBy("root").agg(F.min("least").alias("component_id"))

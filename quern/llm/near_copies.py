@@ -117,12 +117,12 @@ def room(size_a: Column, size_b: Column) -> Column:
     return F.least(size_a, size_b) >= F.greatest(size_a, size_b) * F.lit(SIMILARITY) - F.lit(1e-6)
 
 
-def proposed(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def proposed(nodes: DataFrame, pivots: int = len(PIVOTS)) -> tuple[DataFrame, DataFrame]:
     """Of nodes (node, size, bands): distinct pairs (a, b), a < b, all of small buckets (but those whose sizes rule them out)
-    and those with a pivot of large ones; and (bucket, node) of large buckets."""
+    and those with one of the `pivots` of large ones; and (bucket, node) of large buckets."""
     dealt = common.stored(nodes.select("node", "size", F.explode("bands").alias("bucket")), "bands")
     # a pivot is the least of the bucket's keys after they are turned, which partial minima find in fixed-width buffers
-    turn = [F.lit(simhash._signed(p)).bitwiseXOR(F.col("bucket")) for p in PIVOTS]
+    turn = [F.lit(simhash._signed(p)).bitwiseXOR(F.col("bucket")) for p in PIVOTS[:pivots]]
     least = [F.min(F.col("node").bitwiseXOR(t)).alias(f"p{k}") for k, t in enumerate(turn)]
     found = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *least).where("n > 1")
     buckets = common.stored(found.select("bucket", "n", F.array(*[F.col(f"p{k}").bitwiseXOR(t) for k, t in enumerate(turn)]).alias("pivots")), "buckets")
@@ -200,10 +200,10 @@ def unsettled(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, pivots: int = len(PIVOTS)) -> DataFrame:
     """(a, b) of nodes (node, least, size, bands) whose sets have SIMILARITY or more: of the proposed pairs, and then of those that
     large buckets leave unsettled. docs holds the texts by doc_id; only those of nodes in a pair are read again."""
-    pairs, large = proposed(nodes)
+    pairs, large = proposed(nodes, pivots)
     pairs, large = common.stored(pairs, "proposed"), common.stored(large, "large")
     paired = common.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
     ids = common.stored(_maybe(nodes.select("node", "least"), F.col("node"), paired).select("least").distinct(), "ids")
@@ -220,7 +220,8 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets (node, shingles) have SIMILARITY or more."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    both = common.joined(common.joined(pairs, left, "a"), right, "b").select("a", "b", "of_a", "of_b")
+    # once through each join: Spark splits the partitions of nodes with many pairs
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
