@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.operators.ranks import ranked
-
 from quern.functions import text as T
+from quern.operators.packing import pack_greedy  # noqa: F401  (belongs with the windows)
+from quern.operators.ranks import ranked
 
 WIDTH, OVERLAP = 1000, 50
-BATCH_CHARS, BATCH_ITEMS, ALONE = 5000, 2, 0.7
 HYBRID_CHARS = 3000
 
 
@@ -40,17 +36,17 @@ def chunk_numbers(df: DataFrame, keys: list[str], order: list[Column], size: int
     return df.withColumn("pos", F.row_number().over(w)).withColumn("chunk", F.floor((F.col("pos") - 1) / size).cast("long"))
 
 
-def ratio_split(df: DataFrame, keys: list[str], order: list[Column], numerator: int = 2, denominator: int = 3, spread: Column | None = None) -> DataFrame:
+def ratio_split(df: DataFrame, keys: list[str], order: list[Column], numerator: int = 2, denominator: int = 3, ranged: bool = False) -> DataFrame:
     """Adds side: "first" for the first floor(n * numerator / denominator) rows of the keys, "second" for the rest.
 
-    With spread, a number that the order begins with, large groups are ranked by many tasks."""
-    if spread is None:
+    With `ranged`, large groups are ranked by many tasks."""
+    if not ranged:
         w = Window.partitionBy(*keys)
         take = F.floor(F.count(F.lit(1)).over(w) * numerator / denominator)
         return df.withColumn("side", F.when(F.row_number().over(w.orderBy(*order)) <= take, "first").otherwise("second"))
     takes = df.groupBy(*keys).agg(F.floor(F.count(F.lit(1)) * numerator / denominator).alias("_take"))
-    out = with_group_values(ranked(df, keys, spread, order), takes, keys)
-    return out.withColumn("side", F.when(F.col("rank") <= F.col("_take"), "first").otherwise("second")).select(*df.columns, "side")
+    out = with_group_values(ranked(df, keys, order, "_rank"), takes, keys)
+    return out.withColumn("side", F.when(F.col("_rank") <= F.col("_take"), "first").otherwise("second")).select(*df.columns, "side")
 
 
 def with_group_values(df: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,35 +73,6 @@ def runs_where(df: DataFrame, keys: list[str], order: list[Column], condition: C
     return out.where(F.col("length") >= least).drop("_island")
 
 
-def pack_greedy(df: DataFrame, keys: list[str], order: str, size: str, most: int = BATCH_CHARS, items: int = BATCH_ITEMS, alone: float = ALONE) -> DataFrame:
-    """Adds batch (from 0 within the keys): items fill a batch in order until the next would exceed `most` in size or `items`
-    in number; an item larger than alone * most ends the batch before it and stands by itself.
-
-    The fold is sequential within a key by its nature; it streams over sorted rows with a constant state, so a key of any
-    size needs no memory. Null sizes count as 0."""
-    limit = most * alone
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", batch long"
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, batch, used, count = None, -1, 0, 0
-        for frame in frames:
-            out = []
-            for key, n in zip(frame[keys].itertuples(index=False, name=None), frame[size].fillna(0), strict=True):
-                if key != last:
-                    last, batch, used, count = key, -1, 0, items
-                if n > limit:
-                    batch, used, count = batch + 1, 0, items
-                elif count >= items or used + n > most:
-                    batch, used, count = batch + 1, n, 1
-                else:
-                    used, count = used + n, count + 1
-                out.append(batch)
-            yield frame.assign(batch=out)
-
-    ordered = df.repartition(*keys).sortWithinPartitions(*keys, order)
-    return ordered.mapInPandas(fold, schema)
-
-
 def route_by_size(size: Column, limit: int = HYBRID_CHARS) -> Column:
     return F.when(size > limit, "gpu").otherwise("cpu")
 

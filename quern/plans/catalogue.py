@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import boxes, dates, messages, records
 from quern.functions import text as T
-from quern.operators import dedup, extract, joins, keys, match, ranks, ratelimit, state, windows
+from quern.operators import dedup, extract, joins, keys, match, quantiles, ratelimit, state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,7 +193,7 @@ def chunk_assignment(spark, sf_dir):
 SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) <= floor(count(*) OVER (PARTITION BY source) * 2 / 3) THEN 'first' ELSE 'second' END AS side FROM documents
 """)
 def ratio_split(spark, sf_dir):
-    return windows.ratio_split(t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["source"], [F.desc("n_chars"), F.col("doc_id")], spread=-F.col("n_chars")).select("doc_id", "side")
+    return windows.ratio_split(t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["source"], [F.desc("n_chars"), F.col("doc_id")], ranged=True).select("doc_id", "side")
 
 
 @query("""
@@ -287,6 +287,12 @@ def dup_report(spark, sf_dir):
 
 @query()
 def fuzzy_distinct(spark, sf_dir):
+    """Whole documents of a source and language, in the order of their ids."""
+    return dedup.fuzzy_distinct(t(spark, sf_dir, "documents").select("source", "lang", "doc_id", "text"), ["source", "lang"], "doc_id", "text").drop("text")
+
+
+@query()
+def fuzzy_turns(spark, sf_dir):
     return dedup.fuzzy_distinct(t(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), ["conv_id"], "turn", "text")
 
 
@@ -297,17 +303,25 @@ SELECT q.event_type, round(mean, 6) AS mean, low, high, round(CASE WHEN q.n < 20
 FROM q JOIN s a ON a.event_type = q.event_type AND a.rn = least(greatest(j, 1), q.n - 1) JOIN s b ON b.event_type = q.event_type AND b.rn = least(greatest(j, 1), q.n - 1) + 1
 """)
 def latency_stats(spark, sf_dir):
-    """Mean, least, greatest and the 95th percentile by the exclusive rule (the greatest below 20 rows)."""
+    """Mean, least, greatest and the 95th percentile of the values that are not null."""
     e = t(spark, sf_dir, "events")
     stats = e.groupBy("event_type").agg(F.avg("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
-    j = F.least(F.greatest(F.floor(19 * (F.col("n") + 1) / 20), F.lit(1)), F.col("n") - 1)
-    d = (19 * (F.col("n") + 1)) % 20
-    numbered = ranks.ranked(e.select("event_type", "value"), ["event_type"], F.col("value"), [F.col("value")]).withColumnRenamed("rank", "rn")
-    ranked = windows.with_group_values(numbered, stats, ["event_type"])
-    low_part, high_part = F.max(F.when(F.col("rn") == j, F.col("value"))), F.max(F.when(F.col("rn") == j + 1, F.col("value")))
-    out = ranked.groupBy("event_type", "mean", "low", "high", "n").agg(low_part.alias("a"), high_part.alias("b"))
-    p95 = F.when(F.col("n") < 20, F.col("high")).otherwise((F.col("a") * (20 - d) + F.col("b") * d) / 20)
-    return out.select("event_type", F.round("mean", 6).alias("mean"), "low", "high", F.round(p95, 6).alias("p95"))
+    out = windows.with_group_values(quantiles.exclusive_p95(e, ["event_type"], "value"), stats, ["event_type"])
+    return out.select("event_type", F.round("mean", 6).alias("mean"), "low", "high", F.round("p95", 6).alias("p95"))
+
+
+@query("""
+WITH s AS MATERIALIZED (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS t, count(*) OVER (PARTITION BY event_type) AS n_all FROM events),
+c AS (SELECT DISTINCT event_type, t AS n FROM s WHERE t % 20 = 0 OR t = n_all),
+r AS (SELECT c.event_type, c.n, s.value, row_number() OVER (PARTITION BY c.event_type, c.n ORDER BY s.value) AS rn FROM c JOIN s ON s.event_type = c.event_type AND s.t <= c.n),
+q AS (SELECT event_type, n, least(greatest(19 * (n + 1) // 20, 1), greatest(n - 1, 1)) AS j, 19 * (n + 1) % 20 AS d FROM c)
+SELECT r.event_type, r.n, round(avg(value), 6) AS mean, round(CASE WHEN r.n < 20 THEN max(value) ELSE (max(value) FILTER (rn = j) * (20 - any_value(d)) + max(value) FILTER (rn = j + 1) * any_value(d)) / 20 END, 6) AS p95
+FROM r JOIN q ON q.event_type = r.event_type AND q.n = r.n GROUP BY r.event_type, r.n
+""")
+def latency_log(spark, sf_dir):
+    """Mean and 95th percentile after every 20th call of a type, and after its last."""
+    out = quantiles.running_p95(t(spark, sf_dir, "events"), ["event_type"], [F.col("ts"), F.col("event_id")], "value")
+    return out.select("event_type", "n", F.round("mean", 6).alias("mean"), F.round("p95", 6).alias("p95"))
 
 
 @query("""
@@ -499,6 +513,15 @@ def fuzzy_name_join(spark, sf_dir):
     return match.name_join(nation, named, "n_name", "label").select("n_nationkey", "c_custkey")
 
 
+@query()
+def fuzzy_first_match(spark, sf_dir):
+    """Each part with the first one whose name is near enough to its own."""
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    other = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("first_partkey"), F.col("p_name").alias("first_name"), F.col("p_size").alias("size"))
+    found = match.fuzzy_first(p, other, "p_name", "first_name", [F.desc("size"), F.col("first_partkey")])
+    return found.select("p_partkey", "first_partkey", F.round("ratio", 9).alias("ratio"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, p_name, p_name IS NULL AS needs_fallback FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey
 """)

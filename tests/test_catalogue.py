@@ -31,7 +31,7 @@ def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-PYTHON = {"path_digests", "text_similarity", "fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation"}
+PYTHON = {"path_digests", "text_similarity", "fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation", "fuzzy_turns", "fuzzy_first_match", "latency_log"}
 
 
 def test_path_digests(spark, sf_dir):
@@ -45,6 +45,35 @@ def test_text_similarity(spark, sf_dir):
     assert out == {(c, k): round(SequenceMatcher(None, x, texts[c, k + 1]).ratio(), 9) for (c, k), x in texts.items() if (c, k + 1) in texts}
 
 
+def ratio(a, b):
+    return SequenceMatcher(None, a, b).ratio()
+
+
+def test_fuzzy_distinct_of_documents_equals_the_plain_loop(spark, sf_dir):
+    groups = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect():
+        groups.setdefault((r.source, r.lang), []).append(r)
+    wanted = set()
+    for key, rows in groups.items():
+        kept = {}
+        for r in rows:
+            if r.text in kept.values() or any(ratio(r.text, k) >= 0.85 for k in kept.values()):
+                continue
+            kept[r.doc_id] = r.text
+        wanted |= {(*key, i) for i in kept}
+    out = QUERIES["fuzzy_distinct"](spark, sf_dir).collect()
+    assert {(r.source, r.lang, r.doc_id) for r in out} == wanted and len(out) == len(wanted)
+
+
+def test_first_match_equals_the_plain_loop(spark, sf_dir):
+    parts = [(r.p_partkey, r.p_name, r.p_size) for r in spark.read.parquet(f"{sf_dir}/part.parquet").collect()]
+    ordered = sorted(parts, key=lambda p: (-p[2], p[0]))
+    first = {}
+    for name in {p[1] for p in parts}:
+        first[name] = next((k, round(ratio(name, x), 9)) for k, x, _ in ordered if name in x or x in name or ratio(name, x) >= 0.65)
+    assert {(r.p_partkey, r.first_partkey, r.ratio) for r in QUERIES["fuzzy_first_match"](spark, sf_dir).collect()} == {(k, *first[name]) for k, name, _ in parts}
+
+
 def test_links_have_whole_addresses(spark, sf_dir):
     rows = QUERIES["page_links"](spark, sf_dir).collect()
     assert all("://" in r.url for r in rows if r.place == "anchor")
@@ -97,14 +126,18 @@ def test_stays_in_the_jvm(spark, sf_dir, name):
     assert not re.search(OUTSIDE, text)
 
 
-@pytest.mark.parametrize("name", sorted(PYTHON))
+#: Their Python ran when they were called: the last step reads stored tables.
+STORED = {"fuzzy_distinct", "fuzzy_turns"}
+
+
+@pytest.mark.parametrize("name", sorted(PYTHON - STORED))
 def test_the_others_are_told_apart(spark, sf_dir, name):
     assert re.search(OUTSIDE, plan(QUERIES[name](spark, sf_dir)))
 
 
 def test_scan_reads_only_what_is_needed(spark, sf_dir):
-    text = plan(QUERIES["ratio_split"](spark, sf_dir))
-    assert "ReadSchema: struct<doc_id:bigint,source:string,n_chars:bigint>" in text
+    text = plan(QUERIES["route_by_size"](spark, sf_dir))
+    assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in text
     assert "PushedFilters: [IsNotNull(p_size), GreaterThan(p_size,10)" in plan(QUERIES["attach_profile"](spark, sf_dir))
 
 
