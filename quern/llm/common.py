@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import tempfile
-import uuid
 import zlib
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
@@ -14,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.scratch import clear, path as scratch_path, remove, root as scratch_root, stored  # noqa: F401  (the operators' scratch)
+
 #: Rows of an Arrow batch that carries whole texts; bounds a Python worker's memory on tables of long documents.
 TEXT_ROWS_PER_BATCH = 512
 #: Bytes of an Arrow batch beyond which no further row is added to it.
 TEXT_BYTES_PER_BATCH = 8 << 20
-#: Row groups of scratch tables: what a writing task holds in memory.
-ROW_GROUP_BYTES = str(32 << 20)
 #: Upper-case ASCII letters and their lower-case forms: the only case folding the contracts ask for.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys with at least one in so many rows are joined by broadcast: so many at most.
@@ -32,53 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir. Where that setting is missing, a temporary folder of our own on a local
-    master; on a cluster every machine would see another one, so that is an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-        root = f"file://{tempfile.mkdtemp(prefix='quern-scratch-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder. It is removed by clear() or when the driver's process ends."""
-    path = f"{scratch_root(spark)}/quern-{label}-{uuid.uuid4().hex}"
-    if not _made:
-        atexit.register(clear, spark)
-    _made.append(path)
-    return path
-
-
-_made: list[str] = []
-
-
-def clear(spark: SparkSession) -> None:
-    """Removes all scratch of this process. Results that were not written yet may read it, so write them first."""
-    while _made:
-        remove(spark, _made.pop())
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a scratch path through Hadoop's file system; a stopped session or a missing path is no error."""
-    if spark.sparkContext._jsc is None:
-        return
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: lineage ends there and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.options(**{"parquet.block.size": ROW_GROUP_BYTES, **options}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_text_batches(spark: SparkSession) -> None:
     """Lowers (never raises) the session's Arrow batches to TEXT_ROWS_PER_BATCH rows and TEXT_BYTES_PER_BATCH bytes, as texts
     may be very long. The settings are the session's, as Spark has none for a single operator."""
@@ -170,7 +120,7 @@ def counted(rows: DataFrame, on: str) -> DataFrame:
 
 def joined(rows: DataFrame, other: DataFrame, on: str, counts: DataFrame | None = None) -> DataFrame:
     """rows joined with other, whose `on` is unique. Keys behind which many rows stand are joined by broadcast. counts are
-    the rows' own (_counted), where they are at hand."""
+    the rows' own (counted), where they are at hand."""
     counts = counted(rows, on) if counts is None else counts
     least = max(2, -(-(counts.agg(F.sum("_quern_n")).first()[0] or 0) // HEAVY_SHARE))
     heavy = stored(counts.where(F.col("_quern_n") >= least).select(on), "heavy")

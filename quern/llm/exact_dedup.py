@@ -2,10 +2,12 @@
 
 * Flush: each task's memtable becomes a run, a file of (digest, identifier) sorted by digest. Runs hold ids and digests;
   no text is shuffled for them.
-* Compaction merges the fresh runs into a level and keeps the smallest identifier of each digest: runs are dealt by digest
-  ranges and a range's rows come in order, so equal digests stand together. A level is stored in that order with a membership
-  filter of its digests. Once there are more than FANOUT levels, they are merged into one, whose ranges need no sort of
-  their own. The contract wants the largest doc_id to stay, so identifiers count downwards from it (the complement of
+* Compaction merges the fresh runs into a level and keeps the smallest identifier of each digest. A task folds its own runs
+  first, which come sorted, and sends one entry for each of its digests to the one that digest's hash names; so a digest that a
+  third of the rows have costs one entry a task. The merged entries are then dealt by digest ranges and sorted: a second
+  exchange, of one entry for each digest. A level is stored in that order with a membership filter of its digests, which the
+  look-ups of later flushes read (a single flush has none). Once there are more than FANOUT levels, they are merged into
+  one in the same way. The contract wants the largest doc_id to stay, so identifiers count downwards from it (the complement of
   doc_id, then of the flush and the row's number).
 * Look-up: a later flush passes the filters of the levels before it; only digests that may be there are joined with them.
 * Byte verification: rows whose digest is a hit, found by a broadcast membership filter of bounded size, are grouped by

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quern.llm import common
 
 #: Labelled documents of each language that may be drawn, by a hash of their id, and what a dictionary holds of them: the
-#: sample's bounds. Whole texts are drawn until it is full; the last one fills what room there is.
+#: sample's bounds. Whole texts are drawn in a random order, those that fit.
 SAMPLE_DOCS = 400
 DICTIONARY_BYTES = 128 << 10
 PIECE_BYTES = 2 << 10
@@ -54,17 +54,19 @@ def fit(labelled: DataFrame) -> dict[str, bytes]:
     chosen = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
     texts = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
     sizes = texts.select("doc_id", "lang", "rank", F.octet_length("text").alias("size")).groupBy("lang", "rank").agg(F.sum("size").alias("size")).collect()
+    # whole texts in the order of the draw; one that does not fit any more is skipped
     full: dict[str, int] = {}
-    last: dict[str, int] = {}
+    drawn: dict[str, list[int]] = {}
     for r in sorted(sizes, key=lambda r: r["rank"]):
-        if full.get(r.lang, 0) < DICTIONARY_BYTES:
+        if full.get(r.lang, 0) + r.size <= DICTIONARY_BYTES:
             full[r.lang] = full.get(r.lang, 0) + r.size
-            last[r.lang] = r["rank"]
-    drawn = F.create_map(*[x for lang, rank in last.items() for x in (F.lit(lang), F.lit(rank))])
+            drawn.setdefault(r.lang, []).append(r["rank"])
+    for r in sorted(sizes, key=lambda r: (r["size"], r["rank"])):
+        drawn.setdefault(r.lang, [r["rank"]])  # none fits: the shortest one, whole
+    wanted = labelled.sparkSession.createDataFrame([(lang, rank) for lang, places in drawn.items() for rank in places], "lang string, rank int")
     by: dict[str, bytes] = {}
-    # a text gives no more than a whole dictionary, so a very long one does not swamp the driver
-    for r in texts.where(F.col("rank") <= drawn[F.col("lang")]).withColumn("text", F.substring("text", 1, DICTIONARY_BYTES)).orderBy("rank", "text").collect():
-        by[r.lang] = (by.get(r.lang, b"") + prepared(r.text) + b" ")[:DICTIONARY_BYTES]
+    for r in texts.join(F.broadcast(wanted), ["lang", "rank"]).orderBy("rank", "text").collect():
+        by[r.lang] = by.get(r.lang, b"") + prepared(r.text) + b" "
     return {lang: by[lang] for lang in sorted(by, key=lambda x: (-rows_of[x], x))}
 
 
