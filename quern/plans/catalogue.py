@@ -542,9 +542,11 @@ def set_difference(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id").subtract(t(spark, sf_dir, "labels").select("doc_id"))
 
 
-@query("SELECT CAST(k AS INT) AS attempt, least(10.0 * pow(2, k), 300.0) AS pause FROM range(0, 8) r(k)")
+@query("SELECT event_id, CAST(event_id % 8 AS INT) AS attempt, least(10.0 * pow(2, event_id % 8), 300.0) AS pause FROM events")
 def backoff_ladder(spark, sf_dir):
-    return spark.range(8).select(F.col("id").cast("int").alias("attempt"), records.backoff(10, F.col("id"), 300).alias("pause"))
+    """The pause before each event's next attempt, by the number of attempts that it had."""
+    attempt = F.col("event_id") % 8
+    return t(spark, sf_dir, "events").select("event_id", attempt.cast("int").alias("attempt"), records.backoff(10, attempt, 300).alias("pause"))
 
 
 # Boxes, messages and keys
@@ -609,4 +611,4 @@ def key_rotation(spark, sf_dir):
     return keys.assign(asked, "event_type", ["ts", "event_id"], "s", ["a", "b", "c"]).select("event_id", "label")
 
 
-from quern.plans import more, pieces  # noqa: E402, F401  (they register their queries)
+from quern.plans import more, pieces, scans  # noqa: E402, F401  (they register their queries)

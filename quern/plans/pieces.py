@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from quern import scratch
 from quern.functions import dates, messages, records
 from quern.functions import text as T
 from quern.operators import dedup, extract, joins, keys
@@ -20,16 +16,6 @@ DEVANAGARI = "०१२३४५६७८९"
 WHITE = "' ' || chr(9) || chr(10) || chr(13)"
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder of spark.checkpoint.dir; on a local master a temporary one where that is missing."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-        root = f"file://{tempfile.mkdtemp(prefix='quern-')}"
-    return os.path.join(root, f"quern-{label}-{uuid.uuid4().hex}")
-
-
 @query(f"""
 SELECT doc_id, md5(text) AS digits, md5(ltrim(text, 'EISTALOeista ')) AS stripped, md5(replace(text, chr(10), ' ')) AS line, md5(trim(text, {WHITE})) AS without_nul,
 md5(regexp_replace(text, '\\n\\s*\\n', chr(10) || chr(10), 'g')) AS collapsed,
@@ -200,7 +186,7 @@ def analysis_rows(spark, sf_dir):
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def json_files(spark, sf_dir):
-    path = scratch(spark, "json")
+    path = scratch.path(spark, "json")
     files.write_json(t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"), path)
     return spark.read.schema("event_id long, user_id long, event_type string, value double").json(path)
 
@@ -208,29 +194,27 @@ def json_files(spark, sf_dir):
 @query("SELECT conv_id, turn, substr(text, 1, 1000) AS prompt, substr(text, 1, 2000) AS response FROM conversations")
 def logged_requests(spark, sf_dir):
     """Two appends to a log that does not exist before the first."""
-    path, c = scratch(spark, "log"), t(spark, sf_dir, "conversations")
+    path, c = scratch.path(spark, "log"), t(spark, sf_dir, "conversations")
     rows = c.select("conv_id", "turn", F.col("text").alias("prompt"), F.col("text").alias("response"))
     files.request_log(rows.where("turn % 2 = 0"), path)
     files.request_log(rows.where("turn % 2 != 0"), path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS files, md5(string_agg(md5(x), '' ORDER BY md5(x))) AS texts FROM (SELECT '- ' || replace(text, chr(10), ' ') AS x FROM conversations)")
+@query("SELECT md5('- ' || replace(text, chr(10), ' ')) AS line_md5, count(*) AS lines FROM conversations GROUP BY 1")
 def text_files(spark, sf_dir):
     """Listings written as text, read back by line."""
-    path = scratch(spark, "text")
+    path = scratch.path(spark, "text")
     files.write_text(t(spark, sf_dir, "conversations").select(F.concat(F.lit("- "), T.one_line(F.col("text"))).alias("line")), path, "line")
-    lines = spark.read.text(path, lineSep="\n").select(F.md5("value").alias("m"))
-    # one row by its meaning: the digest of a whole folder
-    return lines.agg(F.count(F.lit(1)).alias("files"), F.md5(F.array_join(F.array_sort(F.collect_list("m")), "")).alias("texts"))
+    return spark.read.text(path, lineSep="\n").groupBy(F.md5("value").alias("line_md5")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query("SELECT event_id, user_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
 def state_versions(spark, sf_dir):
     """Upserts into a table of versions, cleared in between; the last version counts."""
-    table, e = StateTable(spark, scratch(spark, "state")), t(spark, sf_dir, "events")
+    table, e = StateTable(spark, scratch.path(spark, "state")), t(spark, sf_dir, "events")
     newest = [F.desc("ts"), F.desc("event_id")]
-    table.upsert(e.limit(10), ["user_id"], newest)
+    table.upsert(e.where("value > 50"), ["user_id"], newest)
     table.clear()
     table.upsert(e.where("event_id % 2 = 0"), ["user_id"], newest)
     table.upsert(e.where("event_id % 2 != 0"), ["user_id"], newest)

@@ -10,6 +10,7 @@ from difflib import SequenceMatcher
 import pytest
 from oracle import connect, differences
 
+from quern.operators import models
 from quern.plans.catalogue import ORACLES, QUERIES
 
 
@@ -31,7 +32,7 @@ def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-PYTHON = {"path_digests", "text_similarity", "fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation", "fuzzy_turns", "fuzzy_first_match", "latency_log"}
+PYTHON = {"path_digests", "text_similarity", "fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation", "fuzzy_turns", "fuzzy_first_match", "latency_log", "model_answers", "batch_answers", "sentence_vectors", "translated_pages"}
 
 
 def test_path_digests(spark, sf_dir):
@@ -112,6 +113,56 @@ def test_rotation_equals_a_plain_loop(spark, sf_dir):
     assert {r.event_id: r.label for r in QUERIES["key_rotation"](spark, sf_dir).collect()} == expected
 
 
+def turns(spark, sf_dir):
+    return sorted((r.conv_id, r.turn, r.text) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect())
+
+
+def test_model_answers_equal_the_plain_loop(spark, sf_dir):
+    budget = lambda n: 1200 if n < 2000 else 2500 if n < 6000 else 4000
+    wanted = {(c, k): models.echo_client(x, budget(len(x))) or None for c, k, x in turns(spark, sf_dir)}
+    rows = QUERIES["model_answers"](spark, sf_dir).collect()
+    assert {(r.conv_id, r.turn): r.response for r in rows} == wanted
+    assert all((r.error is None) == (r.response is not None) for r in rows)
+
+
+def test_batch_answers_equal_the_plain_loop(spark, sf_dir):
+    batches, wanted = {}, {}
+    for c, k, x in turns(spark, sf_dir):
+        batches.setdefault(c, {})[f"turn{k}.txt"] = x
+    for c, files in batches.items():
+        names = sorted(files)
+        failed = len(names) > 2 and len(names) % 2 == 0
+        for i, name in enumerate(names):
+            alone = failed or (len(names) > 1 and i == len(names) - 1)
+            wanted[c, name] = (f"{len(files[name].strip())} characters", alone)
+    rows = QUERIES["batch_answers"](spark, sf_dir).collect()
+    assert {(r.batch, r.file): (r.response, r.asked_alone) for r in rows} == wanted
+    assert {r.asked_alone for r in rows} == {True, False} and not any(r.error for r in rows)
+
+
+def test_sentence_vectors_equal_the_plain_loop(spark, sf_dir):
+    wanted = {}
+    for c, k, x in turns(spark, sf_dir):
+        v = [0.0] * 64
+        for word in x.lower().split():
+            h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+            v[h % 64] += 1.0 if h >> 63 else -1.0
+        wanted[c, k] = v
+    assert {(r.conv_id, r.turn): list(r.vector) for r in QUERIES["sentence_vectors"](spark, sf_dir).collect()} == wanted
+
+
+def test_translated_lines_equal_the_plain_loop(spark, sf_dir):
+    digits, vowels = str.maketrans("0123456789", "०१२३४५६७८९"), str.maketrans("aeiou", "अएइओउ")
+    wanted = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        for k, line in enumerate(r.text.split("\n")):
+            written = line.translate(digits).translate(vowels) if k % 2 == 0 else line.translate(digits)
+            share = sum("ऀ" <= ch <= "ॿ" for ch in written) / len(written) if written else 0
+            wanted[r.doc_id, k] = line if k % 2 or share >= 0.2 else written.translate(str.maketrans("०१२३४५६७८९", "0123456789"))
+    found = {(r.doc_id, r.line_no): r.line for r in QUERIES["translated_pages"](spark, sf_dir).collect()}
+    assert found == wanted and len({k for (_, k), x in wanted.items()}) > 1
+
+
 OUTSIDE = "EvalPython|MapInPandas|MapInArrow|PythonMapIn|InPandas|InArrow|CartesianProduct|NestedLoop"
 
 
