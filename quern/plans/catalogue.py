@@ -611,4 +611,4 @@ def key_rotation(spark, sf_dir):
     return keys.assign(asked, "event_type", ["ts", "event_id"], "s", ["a", "b", "c"]).select("event_id", "label")
 
 
-from quern.plans import more, pieces, scans  # noqa: E402, F401  (they register their queries)
+from quern.plans import more, pieces, scans, streams  # noqa: E402, F401  (they register their queries)

@@ -16,6 +16,12 @@ def file_stream(spark: SparkSession, path: str, schema: str, files_at_once: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(path)
 
 
+def archiving_stream(spark: SparkSession, path: str, schema: str, archive: str, files_at_once: int = 100) -> DataFrame:
+    """A file stream that moves each file to the archive, under its own path there, once the batch that took it is done."""
+    cleaned = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return cleaned.parquet(path)
+
+
 def first_seen(stream: DataFrame, key: str, ts: str, late: str = "1 day") -> DataFrame:
     """Each key once within the lateness that state is kept for."""
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
