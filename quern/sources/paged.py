@@ -67,8 +67,8 @@ class _Reading:
     def __init__(self, schema: StructType, options: dict):
         self.names, self.folder, self.cache = schema.names, options["path"], options.get("cache")
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        for item in items(partition, self.cache):
+    def read(self, partition: Page | None) -> Iterator[tuple]:
+        for item in items(partition, self.cache) if partition else ():  # None where there are no pages
             yield tuple(item.get(n) for n in self.names)
 
 
