@@ -11,7 +11,7 @@ ANCHOR_WORDS words. Any such run that a document shares with an item therefore h
 place of the passage, and a whole item has several, each with REPEATS keys: a leak is missed only if all of them fail.
 
 An item too short for such windows is cut into one piece more than it may have edits, so that one piece stands unedited
-in any occurrence: every place of a piece is a candidate, none is missed. Short items have to stand at word boundaries:
+in any occurrence: every place of a piece is a candidate, none is missed. Items of any size have to stand at word boundaries:
 a letter or digit that adjoins counts as an edit.
 
 Each document is judged in one task against the broadcast item windows; no text is shuffled and no pair is built.
@@ -217,7 +217,7 @@ class Items:
         anchored = {long[i] for i in np.unique(text_of[chosen[fits]]).tolist()}
         self.short = {k for k, (_, t) in enumerate(items) if t and k not in anchored}
         self.pieces = Pieces([(k, items[k][1]) for k in sorted(self.short)])
-        self.patterns = {k: whole_words(items[k][1]) for k in self.short if len(items[k][1]) < SHORT_ITEM}
+        self.patterns = {k: whole_words(t) for k, (_, t) in enumerate(items) if t}
         # the first word of an item is always among its windows
         chosen = np.union1d(chosen[fits], np.flatnonzero(np.diff(text_of, prepend=-1)))
         offset = starts[chosen] - places[text_of[chosen]] if len(chosen) else np.zeros(0, dtype=np.int64)
@@ -273,11 +273,8 @@ class Items:
             here = sorted(found.get(i, {}).items())
             spaced = b" " + text.translate(TO_SPACES) + b" " if here and self.patterns else b""
             for k, begins in here:
-                item, pattern = self.items[k][1], self.patterns.get(k)
-                if pattern is None:
-                    at = text.find(item)
-                else:
-                    at = m.start() if (m := pattern.search(text)) else -1
+                item = self.items[k][1]
+                at = m.start() if (m := self.patterns[k].search(text)) else -1
                 if at >= 0:
                     yield i, k, 0, at, at + len(item)
                     continue
@@ -289,7 +286,7 @@ class Items:
                         continue
                     done.append(begin)
                     low, high = max(0, begin - 2 * most), min(len(text), begin + len(item) + 2 * most)
-                    if pattern and not edit_distance_within(b" " + item.translate(TO_SPACES) + b" ", spaced[low : high + 2], most):
+                    if not edit_distance_within(b" " + item.translate(TO_SPACES) + b" ", spaced[low : high + 2], most):
                         continue
                     match = edit_distance_within(item, text[low:high], most)
                     if match and (best is None or match[0] < best[0]):
@@ -303,7 +300,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, item_bytes_a_pass: int = ITEM_B
 
     An item counts as found if at most EDIT_SHARE of its normalised bytes have to be edited to make it a part of the
     document's normalised text. One row for each document row and item, with the nearest occurrence's first word and
-    number of words. Null and blank items are ignored; items under SHORT_ITEM bytes have to stand at word boundaries. Null
+    number of words. Null and blank items are ignored; a letter or digit that
+    adjoins an item counts as an edit. Null
     and empty texts hold nothing; repeated rows repeat; extra columns are ignored; empty tables give
     an empty result. The benchmark's size is measured first, and a large one is searched for in several passes."""
     common.small_text_batches(docs.sparkSession)

@@ -50,3 +50,24 @@ def test_items_without_a_fitting_anchor(spark):
     assert found_in(spark, [item], [f"{HOST} {item[:70]}z{item[71:]} more"]) == {(0, 0): 1}
     index = decontaminate.Items([(0, ("one " * 5 + "two three four five six " * 6).strip().encode())])
     assert 0 in np.asarray(index.offset)
+
+
+def test_one_boundary_rule_for_all_sizes(spark):
+    """A letter that adjoins an item counts as an edit, whatever the item's size."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    items = []
+    for size in (79, 80, 81, 120):
+        item = " ".join(word() for _ in range(60))[:size]
+        items.append(item[:-1] + "z" if item[-1] == " " else item)
+    most = [int(decontaminate.EDIT_SHARE * len(x)) for x in items]
+    texts = [f"{HOST} q{x}q and more" for x in items]
+    # as many edits as the item may have, and then two letters more
+    for x, n in zip(items, most, strict=True):
+        body = list(x)
+        body[-n - 3 : -3] = "9" * n
+        texts += [f"{HOST} {''.join(body)} and more", f"{HOST} q{''.join(body)}q and more"]
+    found = found_in(spark, items, texts)
+    for k in range(len(items)):
+        assert found.get((k, k)) == 0
+        assert ((4 + 2 * k, k) in found, (5 + 2 * k, k) in found) == (True, False)
