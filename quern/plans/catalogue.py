@@ -598,7 +598,11 @@ def batch_prompts(spark, sf_dir):
     return t(spark, sf_dir, "orders").select("o_orderkey", F.md5(prompt).alias("prompt_md5"))
 
 
-@query()
+@query("""
+SELECT o_orderkey, array_to_string(['<b>📢 New Job Alert</b>', '<b>🏢 Acme Power Corporation</b>', '<code>Acme Power Corporation &#124; apply by ' || d || ' https://example&#46;com/' || o_orderkey || '</code>',
+'<b>🗓 Apply before: ' || d || '</b>', '<b>🌐</b> https://example.com/' || o_orderkey, '<b>🎯 Similarity:</b> 0.35 | <b>Score:</b> 4/5', '<b>📄 Resume:</b> <code>dynamic_resume_hybrid&#46;txt</code>',
+'<b>💼 Resume tip:</b> Tailor resume to match specific keywords from job description.', '<i>Shortlisted on ' || d || '</i>'], chr(10)) AS message FROM (SELECT o_orderkey, strftime(o_orderdate, '%-d %B %Y') AS d FROM orders)
+""")
 def job_messages(spark, sf_dir):
     o = t(spark, sf_dir, "orders")
     text = F.concat(F.lit("Acme Power Corporation | apply by "), dates.display(F.col("o_orderdate")), F.lit(" https://example.com/"), F.col("o_orderkey").cast("string"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -34,15 +35,16 @@ def ordered(stages: Sequence[Stage]) -> list[Stage]:
     return out
 
 
-def run(spark: SparkSession, stages: Sequence[Stage], state: StateTable, attempts: int = 3, force: bool = False, sleep: Callable[[float], None] = time.sleep) -> list[str]:
-    """Runs what is not done (all with force) and returns the names that ran. A stage that fails all attempts raises."""
+def run(spark: SparkSession, stages: Sequence[Stage], state: StateTable, attempts: int | None = 3, force: bool = False, sleep: Callable[[float], None] = time.sleep) -> list[str]:
+    """Runs what is not done (all with force) and returns the names that ran. A stage that fails all attempts raises; without a
+    number of attempts (None) a stage is tried until it succeeds."""
     known = state.read()
     done = set() if force or known is None else {r.stage for r in known.where("status = 'done'").select("stage").collect()}
     ran = []
     for stage in ordered(stages):
         if stage.name in done:
             continue
-        for k in range(attempts):
+        for k in itertools.count():
             try:
                 stage.run(spark)
                 break
@@ -50,7 +52,7 @@ def run(spark: SparkSession, stages: Sequence[Stage], state: StateTable, attempt
                 if k + 1 == attempts:
                     mark(spark, state, stage.name, "failed")
                     raise
-                sleep(min(FIRST_PAUSE_S * 2**k, LONGEST_PAUSE_S))
+                sleep(min(FIRST_PAUSE_S * 2 ** min(k, 30), LONGEST_PAUSE_S))
         mark(spark, state, stage.name, "done")
         ran.append(stage.name)
     return ran

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern import scratch
 from quern.functions import records
-from quern.operators import raster, resolve
+from quern.operators import notify, raster, ratelimit, redo, resolve
 from quern.plans.catalogue import query, t
 from quern.sources import named, paged
 from quern.streaming import delivery, incremental, stateful
@@ -74,6 +74,62 @@ def delivered_orders(spark, sf_dir):
     return delivery.outcomes(spark, path).select("id", "ok", "attempts", "error")
 
 
+@query("""
+WITH f AS (SELECT min(o_orderkey) AS k FROM orders WHERE o_orderkey % 97 = 0 AND o_orderdate > DATE '1995-06-30')
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 97 <> 0 AS ok, CASE WHEN o_orderkey % 97 = 0 THEN 2 ELSE 1 END AS attempts, (SELECT min(o_orderdate)::TIMESTAMP - INTERVAL 1 MICROSECOND FROM orders WHERE o_orderdate > DATE '1995-06-30' AND o_orderkey % 97 = 0) AS next_watermark
+FROM orders WHERE o_orderdate > DATE '1995-06-30'
+""")
+def notified_orders(spark, sf_dir):
+    """Orders after a watermark handed over in batch, and the watermark that stays before the first failure."""
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("message"), F.to_timestamp("o_orderdate").alias("ts"))
+    new = notify.pending(o, "ts", F.lit("1995-06-30").cast("timestamp"))
+    found = notify.delivered(new, unreliable, attempts=2, pause_s=0.0, pace_s=0.0)
+    mark = notify.next_watermark(found).first().watermark
+    return found.select("id", "ok", "attempts", F.lit(mark).cast("timestamp_ntz").alias("next_watermark"))
+
+
+@query("""
+WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS us, value > 80 AS throttled, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+f AS (
+  SELECT user_id, NULL::BIGINT AS event_id, 0::BIGINT AS rn, us AS refilled, -1::BIGINT AS day, 5.0::DOUBLE AS tokens, 0 AS used, 0::BIGINT AS blocked, '' AS decision FROM e WHERE rn = 1
+  UNION ALL
+  SELECT user_id, event_id, rn, CASE WHEN decision IN ('cooldown', 'quota') THEN refilled ELSE us END, us // 86400000000,
+    CASE WHEN decision IN ('cooldown', 'quota') THEN tokens WHEN decision = 'allowed' AND NOT throttled THEN filled - 1 ELSE filled END,
+    CASE WHEN decision = 'allowed' AND NOT throttled THEN used + 1 ELSE used END, CASE WHEN decision = 'allowed' AND throttled THEN us + 86400000000 ELSE blocked END, decision
+  FROM (SELECT *, CASE WHEN us < blocked THEN 'cooldown' WHEN used >= 20 THEN 'quota' WHEN filled < 1 THEN 'tokens' ELSE 'allowed' END AS decision
+    FROM (SELECT e.user_id, e.event_id, e.rn, e.us, e.throttled, f.refilled, f.tokens, f.blocked, CASE WHEN f.day = e.us // 86400000000 THEN f.used ELSE 0 END AS used,
+      least(5.0::DOUBLE, f.tokens + (e.us / 1e6::DOUBLE - f.refilled / 1e6::DOUBLE) * 15 / 60) AS filled FROM f JOIN e ON e.user_id = f.user_id AND e.rn = f.rn + 1)))
+SELECT user_id, event_id, decision FROM f WHERE rn > 0
+""")
+def cooled_bucket(spark, sf_dir):
+    """A user whose call is answered by "too many requests" waits for a day."""
+    e = t(spark, sf_dir, "events").select("user_id", "event_id", "ts", (F.col("value") > 80).alias("throttled"))
+    found = ratelimit.token_bucket(e, "user_id", "ts", "event_id", ratelimit.Limits(cooldown_s=86_400.0), throttled="throttled")
+    return found.select("user_id", "event_id", "decision")
+
+
+@query("SELECT source, doc_id, CASE WHEN source IN (SELECT source FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source HAVING count(*) FILTER (NOT coalesce(quality = 1, false)) > 0) THEN 2 ELSE 1 END AS run, md5(text) AS text_md5 FROM documents")
+def strict_redo(spark, sf_dir):
+    """A first run leaves sources open whose documents it did not finish; a second computes those sources whole, a third nothing."""
+    d, path = t(spark, sf_dir, "documents").select("source", "doc_id", "text"), scratch.path(spark, "outputs")
+    good = t(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good"))
+    texts = d.select("doc_id", F.md5("text").alias("text_md5"))
+    empty = spark.createDataFrame([], "source string, doc_id long, run int, text_md5 string")
+    ok = lambda done: F.col("text_md5").isNotNull()
+
+    def computed(run: int):
+        def compute(rows: DataFrame) -> DataFrame:
+            made = rows.join(texts, "doc_id").withColumn("run", F.lit(run))
+            # what the first run could not do has no result
+            return made.join(good, "doc_id", "left").withColumn("text_md5", F.when(F.col("good") | F.lit(run > 1), F.col("text_md5"))) if run else made
+
+        return compute
+
+    ran = [redo.redo(d.select("source", "doc_id"), path, computed(k), "source", "doc_id", ok, empty) for k in (1, 2, 3)]
+    assert ran[2] == 0
+    return redo.outputs(spark, path, empty)
+
+
 def recorded(spark, sf_dir) -> str:
     """The table of pages as a paged service would show it, 50 items a page."""
     path, p = scratch.path(spark, "service"), t(spark, sf_dir, "pages")

@@ -6,6 +6,8 @@ import datetime
 import hashlib
 import re
 from difflib import SequenceMatcher
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pytest
 from oracle import connect, differences
@@ -32,7 +34,7 @@ def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-PYTHON = {"path_digests", "text_similarity", "fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation", "fuzzy_turns", "fuzzy_first_match", "latency_log", "model_answers", "batch_answers", "sentence_vectors", "translated_pages"}
+PYTHON = {"path_digests", "text_similarity", "fuzzy_distinct", "greedy_packing", "token_bucket", "page_links", "key_rotation", "fuzzy_turns", "fuzzy_first_match", "latency_log", "model_answers", "batch_answers", "sentence_vectors", "translated_pages", "cooled_bucket"}
 
 
 def test_path_digests(spark, sf_dir):
@@ -81,12 +83,38 @@ def test_links_have_whole_addresses(spark, sf_dir):
     assert len({(r.page_id, r.url) for r in rows}) == len(rows)
 
 
-def test_messages_name_their_order(spark, sf_dir):
-    for r in QUERIES["job_messages"](spark, sf_dir).collect():
-        lines = r.message.split("\n")
-        assert lines[1] == "<b>🏢 Acme Power</b>" or "Acme Power Corporation" in lines[1]
-        assert lines[4].endswith(f"https://example.com/{r.o_orderkey}")
-        assert lines[5] == "<b>🎯 Similarity:</b> 0.35 | <b>Score:</b> 4/5"
+class Anchors(HTMLParser):
+    """Hrefs of anchors with their text, in the order of their start."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows, self.open = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a" and dict(attrs).get("href"):
+            self.rows.append([dict(attrs)["href"], ""])
+            self.open.append(self.rows[-1])
+
+    def handle_data(self, data):
+        for row in self.open:
+            row[1] += data
+
+    def handle_endtag(self, tag):
+        if tag == "a" and self.open:
+            self.open.pop()
+
+
+def test_anchors_equal_a_plain_parser(spark, sf_dir):
+    wanted = set()
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        parser, seen = Anchors(), set()
+        parser.feed(r.html)
+        for href, text in parser.rows:
+            if (full := urljoin(r.url, href)) not in seen:
+                seen.add(full)
+                wanted.add((r.page_id, href, full, text.strip()))
+    found = {(r.page_id, r.href, r.url, r.anchor_text) for r in QUERIES["page_links"](spark, sf_dir).where("place = 'anchor'").collect()}
+    assert found == wanted and wanted
 
 
 def test_rotation_equals_a_plain_loop(spark, sf_dir):
