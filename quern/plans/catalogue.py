@@ -315,13 +315,13 @@ WITH s AS MATERIALIZED (SELECT event_type, value, row_number() OVER (PARTITION B
 c AS (SELECT DISTINCT event_type, t AS n FROM s WHERE t % 20 = 0 OR t = n_all),
 r AS (SELECT c.event_type, c.n, s.value, row_number() OVER (PARTITION BY c.event_type, c.n ORDER BY s.value) AS rn FROM c JOIN s ON s.event_type = c.event_type AND s.t <= c.n),
 q AS (SELECT event_type, n, least(greatest(19 * (n + 1) // 20, 1), greatest(n - 1, 1)) AS j, 19 * (n + 1) % 20 AS d FROM c)
-SELECT r.event_type, r.n, round(avg(value), 6) AS mean, round(CASE WHEN r.n < 20 THEN max(value) ELSE (max(value) FILTER (rn = j) * (20 - any_value(d)) + max(value) FILTER (rn = j + 1) * any_value(d)) / 20 END, 6) AS p95
+SELECT r.event_type, r.n, round(sum(value), 2) AS total, round(CASE WHEN r.n < 20 THEN max(value) ELSE (max(value) FILTER (rn = j) * (20 - any_value(d)) + max(value) FILTER (rn = j + 1) * any_value(d)) / 20 END, 9) AS p95
 FROM r JOIN q ON q.event_type = r.event_type AND q.n = r.n GROUP BY r.event_type, r.n
 """)
 def latency_log(spark, sf_dir):
-    """Mean and 95th percentile after every 20th call of a type, and after its last."""
+    """Sum (a mean would be rounded at ties) and 95th percentile after every 20th call of a type, and after its last."""
     out = quantiles.running_p95(t(spark, sf_dir, "events"), ["event_type"], [F.col("ts"), F.col("event_id")], "value")
-    return out.select("event_type", "n", F.round("mean", 6).alias("mean"), F.round("p95", 6).alias("p95"))
+    return out.select("event_type", "n", F.round(F.col("mean") * F.col("n"), 2).alias("total"), F.round("p95", 9).alias("p95"))
 
 
 @query("""

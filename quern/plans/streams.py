@@ -75,7 +75,6 @@ def delivered_orders(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT min(o_orderkey) AS k FROM orders WHERE o_orderkey % 97 = 0 AND o_orderdate > DATE '1995-06-30')
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 97 <> 0 AS ok, CASE WHEN o_orderkey % 97 = 0 THEN 2 ELSE 1 END AS attempts, (SELECT min(o_orderdate)::TIMESTAMP - INTERVAL 1 MICROSECOND FROM orders WHERE o_orderdate > DATE '1995-06-30' AND o_orderkey % 97 = 0) AS next_watermark
 FROM orders WHERE o_orderdate > DATE '1995-06-30'
 """)
