@@ -201,6 +201,15 @@ def logged_requests(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@query("SELECT doc_id, md5(substr(text, 1, 4000)) AS prompt_md5, md5(substr(text, 1, 4000)) AS response_md5 FROM documents")
+def logged_interactions(spark, sf_dir):
+    """Interactions with whole documents, cut at the log's limit for both sides."""
+    path, d = scratch.path(spark, "interactions"), t(spark, sf_dir, "documents")
+    rows = d.select("doc_id", F.col("text").alias("prompt"), F.col("text").alias("response"))
+    files.request_log(rows, path, files.INTERACTION_CHARS, files.INTERACTION_CHARS)
+    return spark.read.schema(rows.schema).parquet(path).select("doc_id", F.md5("prompt").alias("prompt_md5"), F.md5("response").alias("response_md5"))
+
+
 @query("SELECT md5('- ' || replace(text, chr(10), ' ')) AS line_md5, count(*) AS lines FROM conversations GROUP BY 1")
 def text_files(spark, sf_dir):
     """Listings written as text, read back by line."""

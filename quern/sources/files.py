@@ -13,6 +13,7 @@ from quern.functions import text as T
 # Fixed values.
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp")
 FAILED_IMAGE_PATTERNS = (r"\[⚠ missing\]\s+(.+?\.png)", r"\[🚫\]\s+(.+?\.png)", r"OCR failed on\s+(.+?\.png)", r"\[✖\].*?\s+(.+?\.png)", r"\[❌\]\s+No text from:\s+(.+?\.png)")
+INTERACTION_CHARS = 4000
 ANALYSIS = "job_id string, job_text string, similarity double, best_resume string, gemini_response string, application_status string, processed_at string"
 
 
@@ -138,9 +139,9 @@ def write_json(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "errorifexists").json(path)
 
 
-def request_log(df: DataFrame, path: str) -> None:
-    """Appends requests with prompts cut at 1000 and responses at 2000 characters."""
-    df.withColumns({"prompt": F.substring("prompt", 1, 1000), "response": F.substring("response", 1, 2000)}).write.mode("append").parquet(path)
+def request_log(df: DataFrame, path: str, prompt_chars: int = 1000, response_chars: int = 2000) -> None:
+    """Appends requests with prompts and responses cut; interactions are logged with both cut at INTERACTION_CHARS."""
+    df.withColumns({"prompt": F.substring("prompt", 1, prompt_chars), "response": F.substring("response", 1, response_chars)}).write.mode("append").parquet(path)
 
 
 STATE = S.StructType([S.StructField("file_path", S.StringType()), S.StructField("processed_at", S.TimestampType()), S.StructField("has_jobs", S.BooleanType()), S.StructField("job_count", S.LongType()), S.StructField("skipped_fast", S.BooleanType())])
