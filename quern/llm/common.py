@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.scratch import clear, path as scratch_path, remove, root as scratch_root, stored  # noqa: F401  (the operators' scratch)
+from quern.scratch import ROW_GROUP_BYTES, clear, path as scratch_path, remove, root as scratch_root, stored  # noqa: F401  (the operators' scratch)
 
 #: Rows of an Arrow batch that carries whole texts; bounds a Python worker's memory on tables of long documents.
 TEXT_ROWS_PER_BATCH = 512
