@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from quern import scratch
 from quern.functions import text as T
 
 RESPONSE = "struct<files: array<struct<filename: string, concise_listings: array<string>, full_descriptions: array<string>>>>"
@@ -20,21 +21,29 @@ def response_text(fields: list[Column]) -> Column:
     return F.coalesce(*[F.nullif(f, F.lit("")) for f in fields])
 
 
-def parsed(response: Column) -> Column:
-    """The files array of a response, by the first of these that parses: what lies between the outermost braces of the
-    unfenced text, the object around its "files" key, the whole text. Null if none does."""
-    raw = T.without_fence(T.strip(response))
-    at = F.locate('"files"', raw)
-    before = F.substr(raw, F.lit(1), at - 1)
-    opening = F.length(before) - F.locate("{", F.reverse(before)) + 1
-    around = F.when((at > 0) & F.contains(before, F.lit("{")), T.outer_braces(F.substr(raw, opening)))
-    read = lambda c: F.from_json(F.when(F.try_parse_json(c).isNotNull(), c), RESPONSE)["files"]
-    return F.coalesce(read(T.outer_braces(raw)), read(around), read(raw))
+def parsed(df: DataFrame, response: str) -> DataFrame:
+    """df with _files, the files array of a response, by the first of these that parses: what lies between the outermost braces of
+    the unfenced text, the object around its "files" key, the whole text. Null if none does.
+
+    Each step is a column of its own, which Spark does not fold into those that use it several times. As one expression the
+    text would be stripped some hundreds of times a row. A filter on _files would fold them all into itself, so store it first."""
+    steps = df.withColumn("_stripped", T.strip(F.col(response))).withColumn("_raw", T.without_fence(F.col("_stripped")))
+    steps = steps.withColumn("_at", F.locate('"files"', "_raw")).withColumn("_before", F.substr("_raw", F.lit(1), F.col("_at") - 1))
+    opening = F.length("_before") - F.locate("{", F.reverse("_before")) + 1
+    held = (F.col("_at") > 0) & F.contains("_before", F.lit("{"))
+    steps = steps.withColumns({"_outer": T.outer_braces(F.col("_raw")), "_opened": F.when(held, F.substr("_raw", opening))})
+    steps = steps.withColumn("_around", T.outer_braces(F.col("_opened")))
+    read = lambda c: F.from_json(F.when(F.try_parse_json(F.col(c)).isNotNull(), F.col(c)), RESPONSE)["files"]
+    return steps.select(*df.columns, F.coalesce(read("_outer"), read("_around"), read("_raw")).alias("_files"))
 
 
 def json_listings(df: DataFrame, key: str, response: str) -> DataFrame:
     """(key, filename, line_no, listing) of responses that parse; defaults are no name and no listings."""
-    files = df.select(key, F.inline(F.coalesce(parsed(F.col(response)), F.expr(f"cast(array() as {RESPONSE[13:-1]})"))))
+    return _entries(parsed(df.select(key, response), response), key)
+
+
+def _entries(df: DataFrame, key: str) -> DataFrame:
+    files = df.select(key, F.inline(F.coalesce("_files", F.expr(f"cast(array() as {RESPONSE[13:-1]})"))))
     return files.select(key, F.coalesce("filename", F.lit("")).alias("filename"), F.posexplode(F.coalesce("concise_listings", F.array().cast("array<string>"))).alias("line_no", "listing"))
 
 
@@ -51,8 +60,9 @@ def text_listings(df: DataFrame, key: str, response: str) -> DataFrame:
 
 def listings(df: DataFrame, key: str, response: str) -> DataFrame:
     """The JSON reading where a response parses, the line reading elsewhere; listings with exactly one leading "- "."""
-    both = df.withColumn("_files", parsed(F.col(response)))
-    out = json_listings(both.where("_files is not null"), key, response).unionByName(text_listings(both.where("_files is null"), key, response))
+    rows = df.select(key, response).repartition(key)  # parsing takes longer than the shuffle, and a small file is one task
+    both = scratch.stored(parsed(rows, response), "responses")  # read twice, parsed once
+    out = _entries(both.where("_files is not null"), key).unionByName(text_listings(both.where("_files is null"), key, response))
     return out.withColumn("listing", F.concat(F.lit("- "), F.regexp_replace("listing", "^(?:- )+", "")))
 
 

@@ -214,6 +214,13 @@ def test_listings(spark):
         assert [(r.filename, r.listing) for r in out if r.id == k] == expected
 
 
+def test_responses_are_stripped_once_a_row(spark):
+    """As one expression the plan held some hundreds of copies of each step."""
+    df = spark.createDataFrame([(k, r) for k, (r, _) in RESPONSES.items()], "id int, response string")
+    plan = extract.parsed(df, "response")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 2
+
+
 def test_links(spark):
     html = '<a href="/x">one</a><a data-u="https://d/e" href="y.pdf"><b>two</b></a><iframe src="//v/w"></iframe><script>var u="https://s/t.pdf";</script><a href="/x">again</a><a>no</a>'
     out = extract.links(spark.createDataFrame([(1, "http://h/p/q", html), (2, None, None)], "id int, url string, html string"), "id", "url", "html").orderBy("pos").collect()
