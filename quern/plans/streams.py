@@ -13,6 +13,10 @@ from quern.sources import named, paged
 from quern.streaming import delivery, incremental, stateful
 
 
+#: Tasks that hand orders over side by side.
+SENDERS = 48
+
+
 def ran(stream: DataFrame, label: str) -> DataFrame:
     """All that the stream gives for what there is now."""
     spark, out = stream.sparkSession, scratch.path(stream.sparkSession, label)
@@ -68,9 +72,9 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 97 <> 0 AS ok, CASE WHEN
 def delivered_orders(spark, sf_dir):
     """Every order handed to a receiver, with its outcome."""
     o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("message"), F.to_timestamp("o_orderdate").alias("ts"))
-    path = scratch.path(spark, "outcomes")
-    stream = in_files(o, "orders", [F.lit(True)])
-    delivery.deliver(stream, path, scratch.path(spark, "checkpoint"), unreliable, pause_s=0.0, pace_s=0.0)
+    path, inbox = scratch.path(spark, "outcomes"), scratch.path(spark, "orders")
+    o.write.parquet(inbox)
+    delivery.deliver(spark.readStream.schema(o.schema).parquet(inbox), path, scratch.path(spark, "checkpoint"), unreliable, senders=SENDERS, pause_s=0.0, pace_s=0.0)
     return delivery.outcomes(spark, path).select("id", "ok", "attempts", "error")
 
 

@@ -3,7 +3,8 @@
 A task notes each row's outcome in a log of its attempt, line by line, before it takes the next row. A batch that is repeated,
 because a task or the driver was lost, reads the logs of its earlier attempts and hands over only what they lack. When
 all tasks have ended, the driver commits the batch: it writes the list of the logs that count, and only those are read as
-outcomes. What cannot be told apart is a row whose hand-over ended just before its line was written; the receiver has to know
+outcomes. Rows are dealt to senders by their ids, so a repeated task finds its rows in the logs of its own sender and reads no
+others. What cannot be told apart is a row whose hand-over ended just before its line was written; the receiver has to know
 it by its id, as in any delivery.
 """
 
@@ -70,8 +71,8 @@ def _listed(folder: str) -> list[str]:
 
 
 class Writer(DataSourceStreamWriter):
-    def __init__(self, folder: str, send: Send, attempts: int, pause_s: float, pace_s: float):
-        self.folder, self.send, self.attempts, self.pause_s, self.pace_s = folder, send, attempts, pause_s, pace_s
+    def __init__(self, folder: str, send: Send, attempts: int, pause_s: float, pace_s: float, senders: int):
+        self.folder, self.send, self.attempts, self.pause_s, self.pace_s, self.senders = folder, send, attempts, pause_s, pace_s, senders
 
     def write(self, iterator: Iterator) -> Logged:
         from pyspark import TaskContext
@@ -79,7 +80,10 @@ class Writer(DataSourceStreamWriter):
         # the sink is told its batch when it commits; a task reads it off the rows' local property
         batch = TaskContext.get().getLocalProperty("streaming.sql.batchId")
         folder = posixpath.join(self.folder, f"batch-{int(batch):012d}")
-        known = {line["id"] for log in _listed(folder) for line in _lines(log)}
+        own, dealt = f"{TaskContext.get().partitionId():06d}-of-{self.senders:06d}-", f"-of-{self.senders:06d}-"
+        # logs of another number of senders were dealt otherwise, so all of them are read
+        logs = [x for x in _listed(folder) if (name := posixpath.basename(x)).startswith(own) or dealt not in name]
+        known = {line["id"] for log in logs for line in _lines(log)}
         store, at = _store(folder)
         out, log = None, None
         for row in iterator:
@@ -87,13 +91,14 @@ class Writer(DataSourceStreamWriter):
                 continue
             if out is None:
                 store.create_dir(at, recursive=True)
-                log = f"{uuid.uuid4().hex}.jsonl"
+                log = f"{own}{uuid.uuid4().hex}.jsonl"
                 out = store.open_output_stream(posixpath.join(at, log))
             ok, attempts, error = attempted(self.send, row["id"], row["message"], self.attempts, self.pause_s)
             line = {"batch": int(batch), "id": row["id"], "ts": row["ts"].isoformat() if row["ts"] else None, "ok": ok, "attempts": attempts, "error": error}
             out.write((json.dumps(line) + "\n").encode())
             out.flush()
-            time.sleep(self.pace_s)
+            if self.pace_s:
+                time.sleep(self.pace_s)
         if out is not None:
             out.close()
         return Logged(log)
@@ -112,9 +117,9 @@ class Writer(DataSourceStreamWriter):
         """The logs stay, so that the repeated batch knows what was handed over."""
 
 
-def sink(name: str, send: Send, attempts: int = ATTEMPTS, pause_s: float = FIRST_PAUSE_S, pace_s: float = PACE_S) -> type[DataSource]:
+def sink(name: str, send: Send, attempts: int = ATTEMPTS, pause_s: float = FIRST_PAUSE_S, pace_s: float = PACE_S, senders: int = 1) -> type[DataSource]:
     """A data source of that name whose stream writer hands rows (id string, message string, ts timestamp) to `send`, which raises
-    if it fails. Its option `path` is the folder of outcomes, which all machines share."""
+    if it fails. Its option `path` is the folder of outcomes, which all machines share. Rows come in `senders` partitions by id."""
 
     class Delivery(DataSource):
         @classmethod
@@ -122,17 +127,19 @@ def sink(name: str, send: Send, attempts: int = ATTEMPTS, pause_s: float = FIRST
             return name
 
         def streamWriter(self, schema, overwrite: bool) -> Writer:
-            return Writer(self.options["path"], send, attempts, pause_s, pace_s)
+            return Writer(self.options["path"], send, attempts, pause_s, pace_s, senders)
 
     return Delivery
 
 
-def deliver(stream: DataFrame, path: str, checkpoint: str, send: Send, **options: float) -> None:
-    """Delivers what is new in the stream (id, message, ts) and returns. Rows without an id are left out."""
+def deliver(stream: DataFrame, path: str, checkpoint: str, send: Send, senders: int = 1, **options: float) -> None:
+    """Delivers what is new in the stream (id, message, ts) and returns. Rows without an id are left out.
+
+    `senders` tasks share the rows by id and each keeps the pace for itself; one sender keeps it overall."""
     spark = stream.sparkSession
     name = f"delivery_{uuid.uuid4().hex}"
-    spark.dataSource.register(sink(name, send, **options))
-    rows = stream.where("id is not null").select("id", F.coalesce("message", F.lit("")).alias("message"), "ts")
+    spark.dataSource.register(sink(name, send, senders=senders, **options))
+    rows = stream.where("id is not null").select("id", F.coalesce("message", F.lit("")).alias("message"), "ts").repartition(senders, "id")
     rows.writeStream.format(name).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 

@@ -135,6 +135,30 @@ def test_a_repeated_batch_sends_each_row_once(spark, mail):
     assert delivery.outcomes(spark, str(mail / "out")).where("ok").count() == 6
 
 
+def test_senders_share_rows_and_know_their_own_logs(spark, mail):
+    """Rows of one file are handed over by several tasks, and a batch that is repeated reads no sender's log but its own."""
+    appended(spark, mail / "in", [(f"m{k}", "", at(k)) for k in range(40)], MESSAGES)
+    folder, broken = str(mail / "calls"), str(mail / "broken")
+    open(broken, "w").close()
+    plain = sender(folder)
+
+    def send(name, message):
+        if name == "m17" and os.path.exists(broken):
+            raise SystemExit("the worker is lost")
+        plain(name, message)
+
+    go = lambda n: delivery.deliver(streamed(spark, mail / "in", MESSAGES), str(mail / "out"), str(mail / "cp"), send, senders=n, pause_s=0.0, pace_s=0.0)
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        go(4)
+    os.remove(broken)
+    go(3)  # dealt otherwise than before
+    assert calls(mail) == {f"m{k}": 1 for k in range(40)}
+    found = delivery.outcomes(spark, str(mail / "out"))
+    assert found.where("ok").count() == found.select("id").distinct().count() == 40
+    logs = {x.split("-")[0] for _, _, names in os.walk(mail / "out") for x in names if "-of-000003-" in x}
+    assert len(logs) > 1
+
+
 def test_pauses_double():
     slept = []
 
