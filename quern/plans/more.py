@@ -55,9 +55,10 @@ SELECT doc_id, array_to_string(list_slice(w, 1, 5), ' ') AS head, len(list_filte
 CAST(len(list_distinct(list_transform(w, lambda x: lower(x)))) AS INT) AS kinds FROM w
 """)
 def array_functions(spark, sf_dir):
-    w = T.words(F.col("text"))
+    # words are a column of their own: written into each use, the text would be split once for each; a small file is one task
+    rows, w = t(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id").select("doc_id", T.words(F.col("text")).alias("w")), F.col("w")
     kinds = F.size(F.array_distinct(F.transform(w, F.lower)))
-    return t(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(w, 1, 5), " ").alias("head"), F.exists(w, lambda x: F.length(x) > 8).alias("any_long"), F.forall(w, lambda x: F.length(x) > 0).alias("none_empty"), kinds.alias("kinds"))
+    return rows.select("doc_id", F.array_join(F.slice(w, 1, 5), " ").alias("head"), F.exists(w, lambda x: F.length(x) > 8).alias("any_long"), F.forall(w, lambda x: F.length(x) > 0).alias("none_empty"), kinds.alias("kinds"))
 
 
 @query("SELECT doc_id, coalesce(map_from_entries([{k: 'en', v: 1}, {k: 'fr', v: 2}])[lang], 0) AS code, md5(text) AS text_md5, '{\"id\":' || doc_id || ',\"lang\":\"' || lang || '\"}' AS as_json FROM documents")

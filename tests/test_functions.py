@@ -14,6 +14,7 @@ from quern.functions import text as T
 from quern.functions import vectors as V
 from quern.operators import dedup, extract, match, models, ratelimit, state, windows
 from quern.plans import stages
+from quern.plans.catalogue import QUERIES
 from quern.sources import files
 
 
@@ -221,6 +222,11 @@ def test_responses_are_stripped_once_a_row(spark):
     assert plan.count("regexp_replace") <= 2
 
 
+def test_words_are_split_once_a_row(spark, sf_dir):
+    plan = QUERIES["array_functions"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
 def test_links(spark):
     html = '<a href="/x">one</a><a data-u="https://d/e" href="y.pdf"><b>two</b></a><iframe src="//v/w"></iframe><script>var u="https://s/t.pdf";</script><a href="/x">again</a><a>no</a>'
     out = extract.links(spark.createDataFrame([(1, "http://h/p/q", html), (2, None, None)], "id int, url string, html string"), "id", "url", "html").orderBy("pos").collect()
