@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern import scratch
@@ -20,6 +20,16 @@ from quern.operators.ranks import ranked
 PARTS, EVERY = 20, 20
 #: Rows of a block of time, of a range of values and of a block of questions.
 BLOCK = 1 << 14
+#: Bytes of the Arrow batches in which blocks, one a row, go to Python: some ten of them.
+BATCH_BYTES = 4 << 20
+
+
+def few_blocks_at_once(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes (a smaller one, or one set with a unit, stays), as their rows alone bound nothing where a row is a block."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = spark.conf.get(key).rstrip("bB")
+    if found.isdigit() and int(found) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def places(n: Column) -> tuple[Column, Column]:
@@ -62,6 +72,7 @@ def running_p95(df: DataFrame, keys: list[str], order: list[Column], value: str,
 
     `order` should be unique within the keys. Null values are left out and not counted, null keys are a group. An empty table
     gives an empty result."""
+    few_blocks_at_once(df.sparkSession)
     block = -(-block // every) * every
     rows = df.where(F.col(value).isNotNull()).select(F.to_json(F.struct(*keys)).alias("_key"), *keys, F.col(value).cast("double").alias("_value"), *[c.alias(f"_o{i}") for i, c in enumerate(order)])
     times = ranked(rows, ["_key"], [F.col(f"_o{i}") for i in range(len(order))], "_t").select("_key", *keys, "_value", "_t")

@@ -117,3 +117,14 @@ def test_a_group_is_dealt_over_its_segments(spark):
         packing.scratch.stored = real
     segments = dict(seen)["segments"]
     assert segments.count() == 20 and segments.agg(F.max(F.size("_sizes"))).first()[0] <= 52
+
+
+def test_blocks_go_to_python_a_few_at_once(spark):
+    """A batch of Arrow rows would hold all of a task's blocks, however many; it is bounded by bytes."""
+    import pandas as pd
+
+    quantiles.few_blocks_at_once(spark)
+    rows = spark.range(64, numPartitions=1).select(F.sequence(F.lit(0), F.lit(quantiles.BLOCK * 4)).alias("x"))
+    sizes = [r.n for r in rows.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long").collect()]
+    assert sum(sizes) == 64
+    assert max(sizes) <= 32
