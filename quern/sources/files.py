@@ -14,6 +14,8 @@ from quern.functions import text as T
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp")
 FAILED_IMAGE_PATTERNS = (r"\[⚠ missing\]\s+(.+?\.png)", r"\[🚫\]\s+(.+?\.png)", r"OCR failed on\s+(.+?\.png)", r"\[✖\].*?\s+(.+?\.png)", r"\[❌\]\s+No text from:\s+(.+?\.png)")
 INTERACTION_CHARS = 4000
+#: Partitions of a file scan that one task takes: Spark deals some thirty small files to each, however many there are.
+SCANS_PER_TASK = 32
 ANALYSIS = "job_id string, job_text string, similarity double, best_resume string, gemini_response string, application_status string, processed_at string"
 
 
@@ -25,9 +27,14 @@ def folder_name(c: Column) -> Column:
     return F.element_at(F.split(c, "/"), -2)
 
 
+def in_fewer_tasks(scan: DataFrame) -> DataFrame:
+    """A scan of many small files in tasks of SCANS_PER_TASK partitions, but two for each core at least. Nothing is shuffled."""
+    return scan.coalesce(max(2 * scan.sparkSession.sparkContext.defaultParallelism, -(-scan.rdd.getNumPartitions() // SCANS_PER_TASK)))
+
+
 def binary_files(spark: SparkSession, path: str, suffixes: Sequence[str], recursive: bool = True, without_prefix: str = "") -> DataFrame:
     """path, name, folder, modificationTime, length and content of files whose lower-cased name ends in a suffix."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    df = in_fewer_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path))
     df = df.withColumns({"name": file_name(F.col("path")), "folder": folder_name(F.col("path"))})
     keep = F.lit(False)
     for s in suffixes:
@@ -52,10 +59,9 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def whole_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """(path, text) of each text file."""
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # the metadata is a url
-    return df.select(path.alias("path"), F.col("value").alias("text"))
+    """(path, text) of each text file. They are read as bytes, since the text source sets up a Hadoop reader for each file."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return in_fewer_tasks(df).select("path", F.col("content").cast("string").alias("text"))
 
 
 def page_texts(spark: SparkSession, path: str) -> DataFrame:

@@ -15,6 +15,8 @@ from quern import scratch
 
 #: Files whose bytes a task holds before it writes them.
 BUFFER = 80
+#: Tasks for each core that rows are dealt to: a table may lie in a few row groups, and a file costs more than its row's way.
+TASKS_PER_CORE = 4
 
 
 def write_files(df: DataFrame, path: str, name: Column, content: Column) -> DataFrame:
@@ -26,6 +28,7 @@ def write_files(df: DataFrame, path: str, name: Column, content: Column) -> Data
     Names should be unique: of equal ones the last move stays. Rows with a null name are left out, null content is an empty file."""
     root = path if urlparse(path).scheme else f"file://{path}"
     rows = df.select(name.alias("name"), F.coalesce(content.cast("binary"), F.lit(b"")).alias("content")).where("name is not null")
+    rows = rows.repartition(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, "name")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
