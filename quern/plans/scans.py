@@ -22,7 +22,8 @@ def page_files(spark, sf_dir):
     """One text file for each page, read back by issue and page."""
     path, d = scratch.path(spark, "pages"), t(spark, sf_dir, "documents")
     named.write_files(d, path, F.format_string("%s/%s_p%d_text.txt", "lang", "source", "doc_id"), F.col("text"))
-    return files.page_texts(spark, path).select("issue", "page", F.md5("text").alias("text_md5")).orderBy("issue", "page")
+    # stored, as a sort looks at its input twice and each look would read all files
+    return scratch.stored(files.page_texts(spark, path).select("issue", "page", F.md5("text").alias("text_md5")), "texts").orderBy("issue", "page")
 
 
 @query("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern import scratch
+from quern.plans import scans
 from quern.sources import files, named
 
 
@@ -31,3 +32,7 @@ def test_rows_of_one_partition_are_written_by_many_tasks(spark):
     made = named.write_files(spark.range(500).coalesce(1), path, F.format_string("%d.txt", "id"), F.lit("x"))
     assert made.count() == 500
     assert len(made.inputFiles()) > 1  # the manifest has a file for each task
+
+
+def test_sorted_pages_do_not_read_their_files_again(spark, sf_dir):
+    assert all(x.endswith(".parquet") for x in scans.page_files(spark, sf_dir).inputFiles())
