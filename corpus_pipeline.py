@@ -29,7 +29,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group of near copies: five-word Jaccard similarity of 0.8 or more."""
+    """Keeps the document of the smallest doc_id of each group of near copies: five-word Jaccard similarity of 0.8 or more.
+
+    Pairs come from the trie self-join of fingerprints (op9), wider here, and from MinHash bands beyond its budget."""
     return near_copies.without_near_copies(docs)
 
 

@@ -1,6 +1,12 @@
-"""Near copies by Jaccard similarity: MinHash bands propose pairs, exact sets of five-word shingles decide.
+"""Near copies by Jaccard similarity: the trie self-join of SimHash fingerprints and, beyond its budget, MinHash bands propose
+pairs; exact sets of five-word shingles decide.
 
-Texts of equal shingle sets are one node. A node's MinHash signature is cut into BANDS bands of BAND_ROWS values; nodes
+Texts of equal shingle sets are one node. A node's fingerprint is that of op9, over its set. The trie self-join (`simhash.links`)
+links fingerprints within TRIE_BUDGET bits, as a spanning forest; its links are held against the sets, and those that stand
+make the first components. A pair of SIMILARITY may lie further apart than any budget that a trie prunes by, so bands then look
+for pairs between those components, and none within them is compared again.
+
+A node's MinHash signature is cut into BANDS bands of BAND_ROWS values; nodes
 that share a band are a bucket. A bucket of at most ALL_PAIRS nodes proposes all its pairs; a larger one proposes each
 node with the bucket's PIVOTS, which differ from bucket to bucket, so that pairs grow with the nodes and not with their
 square, and near copies, which share many buckets, meet many pivots. Proposed pairs are held against each other by the
@@ -33,6 +39,10 @@ WIDTH = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 16, 4
 ALL_PAIRS = 24
+#: Bits by which fingerprints of the trie self-join may differ: the median of pairs of 0.8 or more lies at 6 to 7.
+TRIE_BUDGET = 7
+#: Fingerprints of a subtrie beyond which it is dealt out once more.
+SUBTRIE_ROWS = 2_000
 #: What node keys are turned by to choose a bucket's pivots.
 PIVOTS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 #: Counters of shingles; unlike shingles may share one, which costs a worse order and no result.
@@ -81,17 +91,20 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / either if either else 1.0
 
 
-def signed_texts(docs: DataFrame, width: int = WIDTH, keys: Callable[[np.ndarray], list[int]] = bands) -> DataFrame:
-    """(doc_id, digest, node, size, bands) for each row of docs (doc_id, digest, text): size is that of the set of shingles,
-    bands are the keys of buckets that `keys` makes of it."""
+def signed_texts(docs: DataFrame, width: int = WIDTH, keys: Callable[[np.ndarray], list[int]] = bands, prints: bool = False) -> DataFrame:
+    """(doc_id, digest, node, size, bands[, fp]) for each row of docs (doc_id, digest, text): size is that of the set of
+    shingles, bands are the keys of buckets that `keys` makes of it, fp is its SimHash fingerprint as a signed long."""
+    names = ["doc_id", "digest", "node", "size", "bands", *["fp"] * prints]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, width) for t in common.strings(batch.column("text"))]
             columns = [pa.array([node_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([keys(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], names=["doc_id", "digest", "node", "size", "bands"])
+            if prints:
+                columns.append(pa.array([simhash._signed(simhash.fingerprint(s)) for s in sets], pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), *columns], names=names)
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest long, node long, size long, bands array<long>")
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest long, node long, size long, bands array<long>" + ", fp long" * prints)
 
 
 def sets_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -117,6 +130,26 @@ def room(size_a: Column, size_b: Column) -> Column:
     return F.least(size_a, size_b) >= F.greatest(size_a, size_b) * F.lit(SIMILARITY) - F.lit(1e-6)
 
 
+def trie_pairs(nodes: DataFrame, budget: int = TRIE_BUDGET) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of nodes (node, size, fp) that the trie self-join of their fingerprints links: its spanning
+    forest between the least nodes of fingerprints, and each other node of a fingerprint with the least. Empty sets have none."""
+    full = nodes.where("size > 0").select("node", "fp")
+    least = common.stored(full.groupBy("fp").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")), "prints")
+    forest = common.stored(simhash.links(least.select("fp"), budget, SUBTRIE_ROWS), "forest").toDF("fp", "other").distinct()
+    other = least.select(F.col("fp").alias("other"), F.col("least").alias("b"))
+    between = forest.join(least.select("fp", F.col("least").alias("a")), "fp").join(other, "other").select("a", "b")
+    within = common.joined(full, least.where("n > 1").select("fp", "least"), "fp").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    both = between.unionByName(within)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes roots (node, root; only nodes with a link) do not put into one component."""
+    for x in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x, "left")
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def proposed(nodes: DataFrame, pivots: int = len(PIVOTS)) -> tuple[DataFrame, DataFrame]:
     """Of nodes (node, size, bands): distinct pairs (a, b), a < b, all of small buckets (but those whose sizes rule them out)
     and those with one of the `pivots` of large ones; and (bucket, node) of large buckets."""
@@ -201,15 +234,23 @@ def unsettled(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, pivots: int = len(PIVOTS)) -> DataFrame:
-    """(a, b) of nodes (node, least, size, bands) whose sets have SIMILARITY or more: of the proposed pairs, and then of those that
-    large buckets leave unsettled. docs holds the texts by doc_id; only those of nodes in a pair are read again."""
+    """(a, b) of nodes (node, least, size, bands[, fp]) whose sets have SIMILARITY or more, enough of them to join all that any of
+    the proposed pairs joins: of the trie's pairs, where nodes have fingerprints; then of the bands' pairs that those leave apart;
+    and then of those that large buckets leave unsettled. docs holds the texts by doc_id; only those of nodes in a pair are read again."""
+    first = common.stored(trie_pairs(nodes), "trie") if "fp" in nodes.columns else None
     pairs, large = proposed(nodes, pivots)
     pairs, large = common.stored(pairs, "proposed"), common.stored(large, "large")
-    paired = common.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
+    every = pairs if first is None else pairs.unionByName(first)
+    paired = common.stored(every.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
     ids = common.stored(_maybe(nodes.select("node", "least"), F.col("node"), paired).select("least").distinct(), "ids")
     texts = _maybe(docs, F.col("doc_id"), ids)
     sets = common.stored(sets_of(texts, width).join(paired, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    found = common.stored(similar(pairs, sets), "links")
+    if first is None:
+        found = common.stored(similar(pairs, sets), "links")
+    else:
+        linked = common.stored(similar(first, sets), "linked")
+        left = common.stored(apart(pairs, common.stored(simhash.components(linked), "settled")), "apart")
+        found = common.stored(linked.unionByName(similar(left, sets)), "links")
     if large.isEmpty():
         return found
     more = common.stored(unsettled(large, simhash.components(found), sets), "unsettled")
@@ -241,8 +282,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     ignored, an empty table gives an empty result."""
     common.small_text_batches(docs.sparkSession)
     docs = keyed(docs).where("doc_id is not null").select("doc_id", "text", "digest")
-    texts = common.stored(signed_texts(docs), "signed")
-    nodes = common.stored(texts.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
+    texts = common.stored(signed_texts(docs, prints=True), "signed")
+    nodes = common.stored(texts.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("size", "bands", "fp")]), "nodes")
     roots = common.stored(simhash.components(common.stored(links(docs, nodes), "links")), "roots")
     with_root = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     smallest = with_root.groupBy("root").agg(F.min("least").alias("component_id"))

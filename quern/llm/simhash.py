@@ -200,16 +200,17 @@ def deal(rows: DataFrame, fixed: list[int], budget: int) -> tuple[DataFrame, lis
     return rows.select("fp", F.explode(chosen).alias("b")).select("fp", "b.k", "b.key"), masks
 
 
-def links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
+def links(prints: DataFrame, budget: int = BUDGET, subtrie_rows: int = SUBTRIE_ROWS) -> DataFrame:
     """A spanning forest (a, b), b < a in unsigned order, of the links among distinct fingerprints (column fp).
 
-    Joined over all subtries the forests connect exactly the fingerprints that chains of links connect."""
+    Joined over all subtries the forests connect exactly the fingerprints that chains of links connect. A wide budget makes
+    blocks short and prunes little, so it wants smaller subtries."""
     rows, masks = deal(prints, [0], budget)
     out = None
     for again in range(DEALS + 1):
         rows = common.stored(rows, "subtries")
         sizes = rows.groupBy("k", "key").agg(F.count(F.lit(1)).alias("n"))
-        large = common.stored(sizes.where(F.col("n") > SUBTRIE_ROWS).select("k", "key", "n"), "large")
+        large = common.stored(sizes.where(F.col("n") > subtrie_rows).select("k", "key", "n"), "large")
         split = again < DEALS and len(masks) * (budget + 1) <= 4096 and not large.isEmpty()
         small = rows.join(large, ["k", "key"], "left_anti") if split else rows
         found = _joined(small, budget)

@@ -9,7 +9,7 @@ import corpus_pipeline
 from fixtures import odd
 from test_operators import low
 
-from quern.llm import common, decontaminate, near_copies
+from quern.llm import common, decontaminate, near_copies, simhash
 
 
 def plain_set(text):
@@ -89,3 +89,23 @@ def test_odd_rows(spark):
     assert out.columns == odd(spark).columns
     assert out.where("doc_id is null").count() == 2
     assert out.where("doc_id in (3, 4, 5)").count() == 1
+
+
+def test_the_trie_self_join_links_near_copies_by_itself(spark, monkeypatch):
+    """With no pair proposed by bands, pairs within the trie's budget are still found, and those alone."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    table, near = [], 0
+    for k in range(60):
+        words = [word() for _ in range(300)]
+        pair = [" ".join(words), edited(rng, words, 1 + k % 8)]
+        table += [(2 * k, pair[0]), (2 * k + 1, pair[1])]
+        sets = [near_copies.shingles(t) for t in pair]
+        bits = (simhash.fingerprint(sets[0]) ^ simhash.fingerprint(sets[1])).bit_count()
+        near += bits <= near_copies.TRIE_BUDGET and near_copies.similarity(*sets) >= near_copies.SIMILARITY
+    assert 20 < near < 60
+    table += [(1000, ""), (1001, None), (1002, "one"), (1003, "ONE")]
+    none = lambda nodes, pivots: (nodes.selectExpr("node a", "node b").limit(0), nodes.selectExpr("node bucket", "node").limit(0))
+    monkeypatch.setattr(near_copies, "proposed", none)
+    out = near_copies.without_near_copies(spark.createDataFrame(table, "doc_id long, text string"))
+    assert out.count() == len(table) - near - 2
