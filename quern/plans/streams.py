@@ -27,6 +27,7 @@ def ran(stream: DataFrame, label: str) -> DataFrame:
 def in_files(df: DataFrame, label: str, parts: list, files_at_once: int = 1000) -> DataFrame:
     """A stream of df's rows, those of each condition in micro-batches after those of the ones before."""
     spark, path = df.sparkSession, scratch.path(df.sparkSession, label)
+    df = scratch.stored(df, f"{label}-rows")  # one task writes a part, so it should have nothing else to do
     for part in parts:
         df.where(part).coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_at_once).parquet(path)
