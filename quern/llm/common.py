@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import zlib
 from collections.abc import Callable, Hashable, Iterator
@@ -40,6 +42,25 @@ def small_text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_BYTES_PER_BATCH))
 
 
+def give_back() -> None:
+    """Returns to the system what Arrow's pool and the C library keep of freed memory. They keep it for good, and a worker outlives
+    its task: the executor's other tasks would have to do without it."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
+def gives_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a task's function of batches, which gives memory back when its batches are over."""
+
+    @functools.wraps(run)
+    def tidy(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
 def text_flags(judge: Callable[[], Callable[[list[str | None]], list[bool]]], text: Column) -> Column:
     """A boolean for each text. judge() makes a worker's function of a batch's texts. Only the texts go to Python; the rows
     stay in the JVM."""
@@ -49,14 +70,16 @@ def text_flags(judge: Callable[[], Callable[[list[str | None]], list[bool]]], te
         for batch in batches:
             yield pa.array(found(batch.to_pylist()), pa.bool_())
 
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "boolean")(text)
+    tidy = gives_back(run)
+    tidy.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(tidy, "boolean")(text)
 
 
 def held(key: Hashable, make: Callable[[], Any]) -> Any:
     """A worker's model, made once. A worker holds one at a time: the next stage's takes the place of the last one's."""
     if key not in _held:
         _held.clear()
+        give_back()
         _held[key] = make()
     return _held[key]
 

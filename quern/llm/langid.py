@@ -9,9 +9,11 @@ blur the margin. The margin, (second best - best) / second best, is the score; u
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,16 +100,22 @@ class Compressors:
         return self.languages[best], score, score < MIN_MARGIN
 
 
+def compressors(number: str, sent: Broadcast) -> Compressors:
+    """The worker's compressors of one call; they take the place of another stage's model."""
+    return common.held(number, lambda: Compressors(sent.value))
+
+
 def predict(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) for each row of docs (doc_id, text); only the text is looked at.
 
     Null, empty and letterless texts, and all texts where nothing was learned, are `und` with score 0 and rejected.
     Repeated rows repeat, extra columns are ignored, an empty table gives an empty result."""
     common.small_text_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    sent, number = docs.sparkSession.sparkContext.broadcast(dictionaries), uuid.uuid4().hex
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Compressors(sent.value).judge
+        judge = compressors(number, sent).judge
         for batch in batches:
             found = [judge(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
@@ -120,10 +128,10 @@ def without_rejected(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFra
     """docs whose language is told with a sufficient margin; all columns, in one pass and without a shuffle. Rows are judged
     by their text alone: those of null, empty or letterless texts go, whatever their ids; equal rows share a fate."""
     common.small_text_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    sent, number = docs.sparkSession.sparkContext.broadcast(dictionaries), uuid.uuid4().hex
 
     def judge() -> Callable[[list[str | None]], list[bool]]:
-        told = Compressors(sent.value).judge
+        told = compressors(number, sent).judge
         return lambda texts: [not told(t)[2] for t in texts]
 
     return docs.where(common.text_flags(judge, F.col("text")))

@@ -96,6 +96,7 @@ def signed_texts(docs: DataFrame, width: int = WIDTH, keys: Callable[[np.ndarray
     shingles, bands are the keys of buckets that `keys` makes of it, fp is its SimHash fingerprint as a signed long."""
     names = ["doc_id", "digest", "node", "size", "bands", *["fp"] * prints]
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, width) for t in common.strings(batch.column("text"))]
@@ -110,6 +111,7 @@ def signed_texts(docs: DataFrame, width: int = WIDTH, keys: Callable[[np.ndarray
 def sets_of(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(node, shingles) for each row of docs (text); shingles holds the sorted hashes as bytes."""
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, width) for t in common.strings(batch.column("text"))]
@@ -178,6 +180,7 @@ def frequencies(sets: DataFrame) -> np.ndarray:
     """SLOTS counters of the shingles of all sets (shingles): each task adds up its own, so SLOTS rows a task are shuffled at
     most, and as many reach the driver."""
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
@@ -201,6 +204,7 @@ def prefixes(sets: DataFrame, counts: np.ndarray) -> DataFrame:
     """(node, root, size, place, shingle) of sets (node, root, shingles): the rarest of each, place from 1."""
     known = sets.sparkSession.sparkContext.broadcast(counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts)
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, first = [], []
@@ -264,6 +268,7 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     # once through each join: Spark splits the partitions of nodes with many pairs
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of_a, of_b = ([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(c)] for c in ("of_a", "of_b"))

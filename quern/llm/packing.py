@@ -113,6 +113,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
     common.small_text_batches(docs.sparkSession)
     schema = PIECE_SCHEMA + (", ids array<int>" if with_ids else "")
 
+    @common.gives_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer, drops_space=True), np.array([end_id], dtype="<u4").tobytes()
         for keys, texts in encoded(batches, encode):
@@ -156,6 +157,7 @@ def pack(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     named = piece_rows.columns
 
+    @common.gives_back
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bin_id, offset = places.of(batch.column("length").to_numpy(), batch.column("_rank").to_numpy())

@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp) for each row of docs (doc_id, text); fp holds the 64 bits as a signed long."""
     common.small_text_batches(docs.sparkSession)
 
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(shingle_hashes(words_of(t), width)) for t in common.strings(batch.column("text"))], dtype=np.uint64)
@@ -222,6 +223,7 @@ def links(prints: DataFrame, budget: int = BUDGET, subtrie_rows: int = SUBTRIE_R
 
 
 def _joined(rows: DataFrame, budget: int) -> DataFrame:
+    @common.gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
