@@ -49,10 +49,12 @@ def binary_scans(spark, sf_dir):
 SELECT doc_id, line_no, md5(line) AS line_md5 FROM (SELECT doc_id, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(regexp_replace(text, '\\n$', ''), chr(10)) AS l FROM documents))
 """)
 def line_files(spark, sf_dir):
-    path, d = scratch.path(spark, "lines"), t(spark, sf_dir, "documents")
-    named.write_files(d, path, F.format_string("%d.txt", "doc_id"), F.col("text"))
-    number = F.regexp_extract(files.file_name(F.col("path")), r"(\d+)\.txt", 1).cast("long")
-    return files.text_lines(spark, path).select(number.alias("doc_id"), F.col("line_no").cast("long").alias("line_no"), F.md5("line").alias("line_md5"))
+    """A text file for each document, read back by lines. Ids may repeat or be null, so a file's name has the row's own number as well."""
+    path, d = scratch.path(spark, "lines"), t(spark, sf_dir, "documents").where("text is not null")
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.format_string("_%d.txt", F.monotonically_increasing_id()))
+    made = named.write_files(d, path, name, F.col("text"))
+    number = F.nullif(F.regexp_extract(files.file_name(F.col("path")), r"^(-?\d+)_\d+\.txt$", 1), F.lit("")).cast("long")
+    return files.text_lines(spark, path, made).select(number.alias("doc_id"), F.col("line_no").cast("long").alias("line_no"), F.md5("line").alias("line_md5"))
 
 
 def _listings(spark, sf_dir, suffix: str) -> str:

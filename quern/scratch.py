@@ -50,6 +50,12 @@ def remove(spark: SparkSession, where: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def folder(spark: SparkSession, where: str) -> None:
+    """Makes a folder through Hadoop's file system, so that a scan finds it though no row was written there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+
+
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back."""
     spark = df.sparkSession

@@ -50,12 +50,21 @@ def image_files(spark: SparkSession, path: str, recursive: bool = True, without_
     return binary_files(spark, path, IMAGE_SUFFIXES, recursive, "debug_" if without_debug else "")
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, line): lines numbered from 0 within each file, whatever the size of the file's splits.
+def empty_files(path: str, manifest: DataFrame) -> DataFrame:
+    """(path) of the files of a writer's manifest (name, bytes) that hold nothing: Spark's scans give files with bytes only."""
+    return manifest.where("bytes = 0").select(F.concat(F.lit(f"{path}/"), "name").alias("path"))
+
+
+def text_lines(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame:
+    """(path, line_no, line): lines numbered from 0 within each file, whatever the size of the file's splits. One newline at the
+    very end of a file begins no line. An empty file has an empty line, if the manifest of the files' writer names it.
 
     Files are read whole, one task each, since numbering needs a file's lines together; a page is small by its meaning."""
     whole = whole_texts(spark, path)
-    return whole.select("path", F.posexplode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("line_no", "line"))
+    if manifest is not None:
+        whole = whole.unionByName(empty_files(path, manifest.where(F.endswith("name", F.lit(".txt")))).withColumn("text", F.lit("")))
+    # \z, as $ also stands before a line end at the end
+    return whole.select("path", F.posexplode(F.split(F.regexp_replace("text", r"\n\z", ""), "\n")).alias("line_no", "line"))
 
 
 def whole_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:

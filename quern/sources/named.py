@@ -27,6 +27,7 @@ def write_files(df: DataFrame, path: str, name: Column, content: Column) -> Data
     run again only replaces it. Tasks write for themselves, BUFFER rows at a time; path is a folder that all machines share.
     Names should be unique: of equal ones the last move stays. Rows with a null name are left out, null content is an empty file."""
     root = path if urlparse(path).scheme else f"file://{path}"
+    scratch.folder(df.sparkSession, root)
     rows = df.select(name.alias("name"), F.coalesce(content.cast("binary"), F.lit(b"")).alias("content")).where("name is not null")
     rows = rows.repartition(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, "name")
 
